@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.operators.state import delete, upsert_latest
 
@@ -54,9 +55,10 @@ def _overwrite_buckets(rows: DataFrame, path: str) -> None:
     )
 
 
-def read_keyed(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_keyed(spark: SparkSession, path: str, key: str, schema: T.StructType | None = None) -> DataFrame:
     """Rows of a keyed table without the markers that keep emptied buckets in place."""
-    return spark.read.parquet(path).filter(F.col(key).isNotNull())
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).filter(F.col(key).isNotNull())
 
 
 def create_keyed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
@@ -72,7 +74,7 @@ def save_latest(
     spark = updates.sparkSession
     new = with_bucket(updates, key, buckets)
     touched = new.select(BUCKET).distinct()
-    stored = read_keyed(spark, path, key).join(F.broadcast(touched), BUCKET, "left_semi")
+    stored = read_keyed(spark, path, key, new.schema).join(F.broadcast(touched), BUCKET, "left_semi")
     _overwrite_buckets(upsert_latest(stored, new, key, order), path)
 
 
