@@ -85,9 +85,15 @@ def write_windows(metrics: DataFrame, path: str, checkpoint: str) -> DataStreamW
         "window_date", F.to_date("window_start")
     )
     empty.write.mode("append").partitionBy("window_date").parquet(path)
+
+    def put(batch: DataFrame, _: int) -> None:
+        held = batch.persist()
+        _put_windows(held, path)
+        held.unpersist()
+
     return (
         metrics.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, _: _put_windows(batch, path))
+        .foreachBatch(put)
         .option("checkpointLocation", checkpoint)
     )
 
