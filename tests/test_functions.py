@@ -1,0 +1,103 @@
+import datetime as dt
+import hashlib
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.functions import events, fares, geo, keys, numeric
+
+
+def one(spark, *columns):
+    return spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first()
+
+
+@pytest.mark.parametrize(
+    "km, surge, base, per_km, expected",
+    [(5.0, 1.0, 250, 150, 1000), (10.0, 2.0, 250, 150, 3250), (0.0, 1.0, 250, 150, 250),
+     (1.0, 5.0, 100, 100, 600), (5.0, 0.5, 250, 150, None), (5.0, 6.0, 250, 150, None)],
+)
+def test_service_fare(spark, km, surge, base, per_km, expected):
+    assert one(spark, fares.service_fare(F.lit(km), F.lit(surge), base, per_km))[0] == expected
+
+
+@pytest.mark.parametrize(
+    "km, surge, base, per_km, least, expected",
+    [(0.0, 1.0, 250, 150, 500, 500), (10.0, 1.0, 250, 150, 0, 1750),
+     (10.0, 2.0, 250, 100, 0, 2250), (1.0, 1.0, 100, 50, 500, 500)],
+)
+def test_minimum_fare(spark, km, surge, base, per_km, least, expected):
+    fare = fares.minimum_fare(F.lit(km), F.lit(surge), base, per_km, least)
+    assert one(spark, fare)[0] == expected
+
+
+def test_surge_tiers(spark):
+    expected = {0: 1.0, 4: 1.0, 5: 1.25, 9: 1.25, 10: 1.5, 14: 1.5, 15: 2.0, 19: 2.0, 20: 3.0, 100: 3.0}
+    rows = spark.createDataFrame([(d,) for d in expected], "d int")
+    got = {r.d: r.s for r in rows.select("d", fares.surge_for_demand(F.col("d")).alias("s")).collect()}
+    assert got == expected
+
+
+def test_haversine_known_distances(spark):
+    def km(a, b):
+        return one(spark, geo.haversine_km(*[F.lit(x) for x in (*a, *b)]))[0]
+
+    new_york, los_angeles = (40.7128, -74.0060), (34.0522, -118.2437)
+    assert 3900 < km(new_york, los_angeles) < 4000
+    assert 10 < km((37.7749, -122.4194), (37.8044, -122.2712)) < 20
+    assert km(new_york, new_york) == 0
+    assert km((0.0, 0.0), (0.0, 180.0)) == pytest.approx(math.pi * 6371)
+
+
+def test_grid_cells_are_unique_per_square(spark):
+    points = [(lat, lon) for lat in (-90.0, -0.005, 0.005, 89.99, 90.0) for lon in (-180.0, 0.0, 180.0)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    cells = df.select(geo.grid_cell(F.col("lat"), F.col("lon")).alias("c")).distinct()
+    assert cells.count() == len(points)
+
+
+def test_event_id_equals_the_hash_of_its_parts(spark):
+    parts = ("ride-1", "ride_requested", "2024-01-01T00:00:00Z")
+    got = one(spark, events.event_id(*[F.lit(p) for p in parts]))[0]
+    assert got == hashlib.sha256(":".join(parts).encode()).hexdigest()[:32]
+
+
+@pytest.mark.parametrize(
+    "text, iso",
+    [("2024-01-01 10:00:00", "2024-01-01T10:00:00+00:00"),
+     ("2026-04-13T12:42:58.504608+00:00", "2026-04-13T12:42:58.504608+00:00"),
+     ("2024-01-01T10:00:00+02:00", "2024-01-01T08:00:00+00:00"), ("not a time", None)],
+)
+def test_times_are_read_as_utc_and_written_as_iso(spark, text, iso):
+    got = one(spark, events.iso_text(events.event_time(F.lit(text))))[0]
+    assert got == iso
+    if iso:
+        assert got == dt.datetime.fromisoformat(iso).isoformat()
+
+
+def test_rounding_of_integers_is_exact(spark):
+    rng = random.Random(7)
+    cases = [(rng.randrange(-10**6, 10**6), rng.randrange(1, 500)) for _ in range(500)]
+    cases += [(5, 2), (-5, 2), (1005, 1000), (0, 3)]
+    df = spark.createDataFrame(cases, "t bigint, n bigint")
+    got = df.select("t", "n", numeric.mean(F.col("t"), F.col("n")).alias("m")).collect()
+    for r in got:
+        exact = (Decimal(r.t) / Decimal(r.n)).quantize(Decimal(1), ROUND_HALF_UP)
+        assert r.m == float(exact)
+    assert one(spark, numeric.mean(F.lit(5), F.lit(0)))[0] is None
+
+
+def test_kilometres_round_half_up(spark):
+    assert one(spark, numeric.km(F.lit(8205.0)), numeric.km(F.lit(8204.9)))[:] == (8.21, 8.2)
+
+
+def test_surrogate_keys_are_stable_and_separate_their_parts(spark):
+    a, b, c = one(
+        spark,
+        keys.surrogate_key(F.lit("a"), F.lit("bc")),
+        keys.surrogate_key(F.lit("ab"), F.lit("c")),
+        keys.surrogate_key(F.lit("a"), F.lit("bc")),
+    )
+    assert a == c and a != b and a > 0
