@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.sql.debug.maxToStringFields": "200",
             "spark.checkpoint.dir": str(base / "work"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
         },

@@ -70,7 +70,7 @@ def test_dead_letters_carry_reason_time_and_text(spark, rows):
     checked = ingest.check_payload(ingest.parse_messages(message(spark, "{broken", envelope())))
     (letter,) = rows(ingest.dead_letters(checked, F.timestamp_seconds(F.lit(12))))
     assert (letter["_error"], letter["_dlq_timestamp"]) == ("malformed", 12.0)
-    assert letter["_corrupt_record"] == "{broken"
+    assert letter["raw_text"] == "{broken"
 
 
 def test_typed_event_reasons(spark, rows):

@@ -155,10 +155,18 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
 
 
 def dead_letters(checked: DataFrame, at: Column | None = None) -> DataFrame:
-    """Rejects as quarantine rows: the payload, why it was rejected, and when (epoch seconds)."""
+    """Rejects as quarantine rows: the payload, why it was rejected, and when (epoch seconds).
+
+    Text that is not JSON is kept in `raw_text`.
+    """
     when = F.current_timestamp() if at is None else at
+    payload = [
+        F.col(c).alias("raw_text") if c == CORRUPT else F.col(c)
+        for c in checked.columns
+        if c != REASONS
+    ]
     return rejected_rows(checked).select(
-        *[c for c in checked.columns if c != REASONS],
+        *payload,
         F.array_join(REASONS, ";").alias("_error"),
         (F.unix_micros(when) / F.lit(1e6)).alias("_dlq_timestamp"),
     )

@@ -320,8 +320,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = ingest.check_payload(ingest.parse_messages(_messages(spark, sf_dir)))
     rejects = ingest.dead_letters(checked, at=F.col("ts"))
     return rejects.select(
-        "offset", "event_id", "ride_id", F.col(schemas.CORRUPT).alias("raw_text"), "_error",
-        "_dlq_timestamp",
+        "offset", "event_id", "ride_id", "raw_text", "_error", "_dlq_timestamp"
     )
 
 

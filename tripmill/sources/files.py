@@ -82,13 +82,9 @@ def write_extract(df: DataFrame, path: str) -> None:
 def write_partitioned(df: DataFrame, path: str, date: str, sort_by: tuple[str, ...] = ()) -> None:
     """Parquet in one folder per date; rewrites the dates that occur in the data and no others.
 
-    Rows are spread by date and ride before writing, so a date that holds much of the data is
-    written by several tasks.
+    Rows are rebalanced by date: small dates share a task, a date with much of the data is split.
     """
-    spread = [F.col(date)]
-    if "ride_id" in df.columns:
-        spread.append(F.pmod(F.xxhash64("ride_id"), F.lit(16)))
-    out = df.repartition(*spread)
+    out = df.hint("rebalance", F.col(date))
     if sort_by:
         out = out.sortWithinPartitions(date, *sort_by)
     (

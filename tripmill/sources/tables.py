@@ -48,7 +48,8 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 def _overwrite_buckets(rows: DataFrame, path: str) -> None:
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", F.col(BUCKET))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
@@ -64,7 +65,7 @@ def read_keyed(spark: SparkSession, path: str, key: str, schema: T.StructType |
 def create_keyed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
     """A table on files that is split by key, so that a change rewrites only some of it."""
     keyed = with_bucket(rows, key, buckets)
-    keyed.repartition(BUCKET, key).write.partitionBy(BUCKET).parquet(path)
+    keyed.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(path)
 
 
 def save_latest(

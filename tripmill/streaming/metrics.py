@@ -70,7 +70,7 @@ def _put_windows(batch: DataFrame, path: str) -> None:
         stored.unionByName(rows), ["window_start"], [F.col("_new").desc()]
     ).drop("_new")
     (
-        merged.repartition("window_date")
+        merged.hint("rebalance", F.col("window_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")
