@@ -71,19 +71,26 @@ def test_lookup_finds_the_version_of_the_day_on_a_hot_key(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("share", [0.001, 0.2, 2.0])
-def test_lookup_join_equals_a_plain_join(spark, how, share):
+@pytest.mark.parametrize("hot", [[], [1], [1, 2, 9]])
+def test_lookup_join_equals_a_plain_join(spark, how, hot):
     rng = random.Random(5)
     facts = spark.createDataFrame(
         [(i, rng.choice([1] * 5 + [2, 3, None, 9])) for i in range(500)], "id bigint, k bigint"
     )
     dim = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (3, None), (7, "w")], "k bigint, v string")
-    got = skew.lookup_join(facts, dim, ["k"], spread_by=["id"], how=how, hot_share=share, splits=8)
+    frequent = spark.createDataFrame([(k,) for k in hot], "_hot_key bigint")
+    got = skew.lookup_join(facts, dim, "k", spread_by=["id"], frequent=frequent, how=how, splits=8)
     want = facts.join(dim, "k", how).select("id", "k", "v")
     got = got.select("id", "k", "v")
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_frequent_keys_hold_the_hot_key_and_are_bounded(spark):
+    df = spark.createDataFrame([(str(i % 3000 if i % 3 else -1),) for i in range(9000)] + [(None,)], "k string")
+    keys = [r[0] for r in skew.frequent_keys(df, "k", 16).collect()]
+    assert "-1" in keys and len(keys) <= 16 and None not in keys
+
+
 def test_first_occurrence_by_rank_and_by_minimum(spark):
     rng = random.Random(1)
     data = [(rng.randrange(20), rng.randrange(50), i, rng.random()) for i in range(400)]

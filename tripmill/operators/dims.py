@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.geo import grid_cell
 from tripmill.functions.keys import UNKNOWN_KEY, date_key, hashed, surrogate_key, time_key
 from tripmill.operators.facts import SLA_SECONDS
-from tripmill.operators.skew import lookup_join
+from tripmill.operators.skew import frequent_keys, lookup_join
 
 
 def _daily_state(log: DataFrame, key: str, ts: str, attributes: list[str], tie: str) -> DataFrame:
@@ -75,16 +75,26 @@ def scd2_merge(
 
 
 def scd2_lookup(
-    facts: DataFrame, dim: DataFrame, key: str, on_date: str, spread_by: str, take: list[str]
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    on_date: str,
+    spread_by: str,
+    take: list[str],
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
-    """The version valid on the date of each fact; facts before the first version get NULLs."""
+    """The version valid on the date of each fact; facts before the first version get NULLs.
+
+    The facts are read a second time, for their key alone, unless the frequent keys are given.
+    """
     versions = dim.select(
         key, F.col("effective_date").alias("_from"), F.col("end_date").alias("_to"), *take
     )
     day = F.col(on_date)
     inside = (F.col("_from") <= day) & (F.col("_to").isNull() | (day < F.col("_to")))
+    frequent = frequent_keys(facts, key) if frequent is None else frequent
     return lookup_join(
-        facts, versions, [key], spread_by=[spread_by], condition=inside
+        facts, versions, key, spread_by=[spread_by], frequent=frequent, condition=inside
     ).drop("_from", "_to")
 
 
@@ -150,15 +160,20 @@ def fact_rides(
     """Rides with dimension keys and a late flag; an id the dimension lacks gets the unknown key.
 
     Date, time and place keys are computed, not looked up. Driver and rider lookups are joins that
-    split hot ids; neither dimension is assumed to be small.
+    split hot ids; neither dimension is assumed to be small. `trips` is read three times, twice for
+    one id column only, so it should be a stored table.
     """
     unknown = F.lit(UNKNOWN_KEY)
     with_driver = scd2_lookup(
         trips.withColumn("_day", F.to_date("started_at")),
-        drivers, "driver_id", "_day", "ride_id", ["driver_key"],
+        drivers, "driver_id", "_day", "ride_id", ["driver_key"], frequent_keys(trips, "driver_id"),
     )
     joined = lookup_join(
-        with_driver, riders.select("rider_id", "rider_key"), ["rider_id"], spread_by=["ride_id"]
+        with_driver,
+        riders.select("rider_id", "rider_key"),
+        "rider_id",
+        spread_by=["ride_id"],
+        frequent=frequent_keys(trips, "rider_id"),
     )
     seconds = F.unix_seconds("completed_at") - F.unix_seconds("started_at")
 

@@ -26,13 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: the facts of its ride."""
+    """One row per order: the facts of its ride.
+
+    Orders are spread by key, as the join needs them anyway, so that the log made from them is
+    computed in parallel however few files they came in.
+    """
     per_order = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("driver"), F.sum("l_quantity").alias("quantity"))
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
     k, customer = F.col("o_orderkey"), F.col("o_custkey")
 

@@ -70,7 +70,10 @@ def _summaries(bronze: DataFrame, models: dict[str, DataFrame]) -> list[DataFram
 
 
 def quality_summary(bronze: DataFrame, models: dict[str, DataFrame] | None = None) -> DataFrame:
-    """A row per declared check over all layers. Pass the written models to read instead of compute."""
+    """A row per declared check over all layers. Pass the written models to read instead of compute.
+
+    Each table is read by several checks, so both inputs should be stored tables.
+    """
     if models is None:
         silver = to_silver(bronze)
         models = {"stg_rides": silver} | {n: model(silver) for n, model in GOLD_MODELS.items()}

@@ -261,12 +261,15 @@ def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_rides_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides are written once, as the star reads them for frequent ids and again for the joins."""
     outcomes = facts.ride_outcomes(bind.silver(spark, sf_dir))
     places = bind.rides(spark, sf_dir).select(
         "ride_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon"
     )
+    path = work_dir(spark, "rides")
+    outcomes.join(places, "ride_id").write.parquet(path)
     return dims.fact_rides(
-        outcomes.join(places, "ride_id"),
+        spark.read.parquet(path),
         _drivers(bind.change_log(spark, sf_dir)),
         _riders(spark, sf_dir),
     )
@@ -445,7 +448,14 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.quality_summary(bind.bronze(spark, sf_dir))
+    """All declared checks, on layers that are written once and then read by each check."""
+    base = work_dir(spark, "layers")
+    bind.bronze(spark, sf_dir).write.parquet(f"{base}/bronze")
+    bronze = spark.read.parquet(f"{base}/bronze")
+    silver.to_silver(bronze).write.parquet(f"{base}/silver")
+    rides = spark.read.parquet(f"{base}/silver")
+    models = {name: model(rides) for name, model in medallion.GOLD_MODELS.items()}
+    return medallion.quality_summary(bronze, {"stg_rides": rides} | models)
 
 
 @query
