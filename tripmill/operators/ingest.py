@@ -21,6 +21,15 @@ REASONS = "reasons"
 TRIP_COLUMNS = ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")
 
 
+def once(parsed: Column) -> Column:
+    """A generator of one row, which filters are not pushed through.
+
+    Without it the optimizer copies the parse into every later condition on a parsed field, and each
+    row is parsed dozens of times.
+    """
+    return F.explode(F.array(parsed))
+
+
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to message fields. Text that is not JSON keeps its content in the corrupt column."""
     parsed = F.from_json(
@@ -28,7 +37,7 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
         MESSAGE,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return raw.withColumn("_m", parsed).select(
+    return raw.withColumn("_m", once(parsed)).select(
         *[c for c in raw.columns if c not in MESSAGE.names], "_m.*"
     )
 
@@ -41,7 +50,7 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
     Numbers that cannot be read are listed in `bad_numbers`.
     """
     nested = "data" in events.columns
-    step = events.withColumn("_d", F.from_json("data", EVENT_DATA)) if nested else events
+    step = events.withColumn("_d", once(F.from_json("data", EVENT_DATA))) if nested else events
 
     def text(name: str) -> Column:
         options = [F.col(name)] if name in events.columns else []
