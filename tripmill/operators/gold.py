@@ -18,15 +18,13 @@ from tripmill.functions.numeric import (
 )
 from tripmill.schemas import COMPLETED
 
-_KM100 = hundredths
-
 
 def completed(silver: DataFrame, *needed: str) -> DataFrame:
     """Completed rides whose needed columns are filled."""
     rows = silver.filter(F.col("event_type") == COMPLETED)
     for name in needed:
         rows = rows.filter(F.col(name).isNotNull())
-    return rows.withColumn("km100", _KM100(F.col("distance_km")))
+    return rows.withColumn("km100", hundredths(F.col("distance_km")))
 
 
 def _ride_count(unique_rides: bool) -> Column:
