@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import chat, language, packing, sharding
+from tripmill.llm import chat, language, packing, sharding, simhash, substring
 from tripmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(turns.unionByName(extra.withColumn("text", F.lit(said)))))
 
 
+@query
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -71,6 +79,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (
@@ -96,4 +110,29 @@ ORACLES: dict[str, str] = {
                CAST(sum(prefix) FILTER (WHERE reply OR pos = n) AS BIGINT) AS formatted_chars
         FROM summed GROUP BY conv_id
     """,
+    "op5_substring": r"""
+        WITH words AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        windows AS MATERIALIZED (
+            SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+        ),
+        repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+        gone AS (
+            SELECT DISTINCT doc_id, i + j AS pos
+            FROM windows JOIN repeated USING (h), (SELECT unnest(range(35)) AS j)
+        ),
+        placed AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM words
+        ),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept FROM placed ANTI JOIN gone USING (doc_id, pos)
+            GROUP BY doc_id
+        ),
+        lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM words LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
