@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import chat, language, packing, sharding, simhash, substring
+from tripmill.llm import chat, html, language, packing, sharding, simhash, substring
 from tripmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (
