@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import chat, html, language, packing, sharding, simhash, substring
+from tripmill.llm import chat, decontaminate, html, language, packing, sharding, simhash, substring
 from tripmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "contaminated", "n_items", "best_item", "coverage")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
