@@ -15,6 +15,15 @@ from tripmill.session import work_dir
 CHUNK = 1 << 12
 
 
+BATCH_BYTES = "4m"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches bounded by size: rows may be very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

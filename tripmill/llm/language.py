@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import without
+from tripmill.llm.common import add_vectors, without
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -28,7 +28,6 @@ TRAIN_ROWS = 20_000
 #: More label values than this are no languages; the matrix would grow with them.
 MAX_LANGUAGES = 512
 CHARS_PER_BLOCK = 1 << 19
-CHUNK = 1 << 12
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -85,34 +84,21 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield start, run
 
 
-def labelled_counts(labelled: DataFrame) -> DataFrame:
-    """Sum of n-gram counts per language and chunk of buckets, as binary vectors of 64-bit numbers."""
-    schema = "lang string, chunk int, counts binary"
+def labelled_counts(labelled: DataFrame, langs: list[str]) -> np.ndarray:
+    """Sum of n-gram counts, languages x buckets."""
+    place = {name: i for i, name in enumerate(langs)}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        total = np.zeros(len(langs) * BUCKETS)
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, run in blocks(texts):
-                names = langs[start : start + len(run)]
-                kinds = {name: i for i, name in enumerate(dict.fromkeys(names))}
+                kind = np.array([place[n] for n in names[start : start + len(run)]])
                 bucket, owner = grams(run)
-                kind = np.array([kinds[n] for n in names])[owner]
-                table = np.bincount(kind * BUCKETS + bucket, minlength=len(kinds) * BUCKETS).reshape(-1, BUCKETS)
-                for name, i in kinds.items():
-                    sums[name] = sums.get(name, 0) + table[i]
-        for name, vector in sums.items():
-            parts = vector.astype("<i8").reshape(-1, CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(parts)), pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                names=["lang", "chunk", "counts"],
-            )
+                total += np.bincount(kind[owner] * BUCKETS + bucket, minlength=len(total))
+        yield total
 
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, dtype="<i8") for c in part["counts"])
-        return part.head(1)[["lang", "chunk"]].assign(counts=[total.tobytes()])
-
-    return labelled.select("lang", "text").mapInArrow(count, schema).groupBy("lang", "chunk").applyInPandas(add, schema)
+    return add_vectors(labelled.select("lang", "text"), count, len(langs) * BUCKETS).reshape(len(langs), BUCKETS)
 
 
 def learn(
@@ -137,10 +123,7 @@ def learn(
         if sizes[lang] > train_rows:
             share = int(train_rows / sizes[lang] * (1 << 30))
             keep = F.when(F.col("lang") == lang, F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share).otherwise(keep)
-    counts = np.zeros((len(langs), BUCKETS))
-    for r in labelled_counts(rows.filter(keep)).collect():  # languages x buckets numbers
-        at = r["chunk"] * CHUNK
-        counts[langs.index(r["lang"]), at : at + CHUNK] = np.frombuffer(r["counts"], dtype="<i8")
+    counts = labelled_counts(rows.filter(keep), langs)
     smoothed = counts + SMOOTHING
     return langs, np.log(smoothed / smoothed.sum(axis=1, keepdims=True)).astype(np.float32)
 

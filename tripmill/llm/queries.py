@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import chat, decontaminate, html, language, packing, sharding, simhash, substring
-from tripmill.llm.common import table
+from tripmill.llm.common import bounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +19,7 @@ SHARD_SEED = 20_240_607
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(bounded(spark), sf_dir)
     return fn
 
 
