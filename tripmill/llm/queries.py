@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import chat, decontaminate, html, language, packing, sharding, simhash, substring
+from tripmill.llm import ann, chat, decontaminate, html, language, packing, sharding, simhash, substring, warc
 from tripmill.llm.common import bounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,47 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+#: A crawl made of the pages: each page is fetched, some again later with a changed body, and each is revisited.
+#: Both Spark and the checking engine read this SQL.
+CAPTURES = """
+    SELECT page_id * 4 AS record_id, url AS uri, 1000000 + (page_id % 997) * 100 AS captured, 200 AS status,
+           CASE WHEN page_id % 11 != 0 THEN md5(html) END AS etag, 'day ' || (page_id % 5) AS modified,
+           'text/html' AS kind, html AS payload
+    FROM pages
+    UNION ALL
+    SELECT page_id * 4 + 1, url, 1005000 + (page_id % 997) * 100, 200, md5(html || '<!-- 2 -->'),
+           'day ' || (page_id % 5 + 1), 'text/html', html || '<!-- 2 -->'
+    FROM pages WHERE page_id % 3 = 0
+    UNION ALL
+    SELECT page_id * 4 + 2, replace(url, 'http', 'HTTP') || '#top',
+           1003000 + (page_id % 997) * 100 + (page_id % 2) * 4000, 304,
+           CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 5 = 0 THEN 'W/' || md5(html) ELSE md5(html) END,
+           CASE WHEN page_id % 13 != 0 THEN 'day ' || (page_id % 5) END, 'text/plain', NULL
+    FROM pages
+    UNION ALL
+    SELECT page_id * 4 + 3, url, 999000 + (page_id % 997) * 10, 304, md5(html), NULL, 'text/plain', NULL
+    FROM pages WHERE page_id % 13 = 0
+"""
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = spark.sql(CAPTURES.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages"))
+    named = F.map_from_arrays(
+        F.array(*map(F.lit, ("ETag", "Last-Modified", "Content-Type", "Date", "Connection"))),
+        F.array("etag", "modified", "kind", F.col("captured").cast("string"), F.lit("close")),
+    )
+    headers = F.map_filter(named, lambda k, v: v.isNotNull())
+    found = warc.resolve_revisits(captures.withColumn("headers", headers))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select(
+        "record_id", "uri", "captured", "resolution", "response_id",
+        F.array_join(lines, "\n").alias("headers"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+    )
+
+
 @query
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -79,6 +120,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -98,6 +144,49 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES: dict[str, str] = {
+    "op3_warc": f"""
+        WITH captures AS ({CAPTURES}),
+        parts AS (
+            SELECT *, regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)', ['scheme', 'host', 'rest']) AS p
+            FROM captures
+        ),
+        named AS (
+            SELECT * EXCLUDE (uri, p),
+                   CASE WHEN p.scheme = '' THEN regexp_replace(uri, '#.*$', '', 's')
+                        ELSE lower(p.scheme) || '://'
+                             || regexp_replace(regexp_replace(lower(p.host), '^.*@', ''),
+                                               CASE lower(p.scheme) WHEN 'http' THEN ':80$' WHEN 'https' THEN ':443$' ELSE '^$' END, '')
+                             || CASE WHEN starts_with(p.rest, '/') THEN p.rest ELSE '/' || p.rest END END AS uri
+            FROM parts
+        ),
+        full_responses AS (
+            SELECT uri, captured, max(record_id) AS record_id FROM named
+            WHERE status = 200 AND payload IS NOT NULL GROUP BY uri, captured
+        ),
+        matched AS (
+            SELECT v.*, f.record_id AS response_id
+            FROM (SELECT * FROM named WHERE status = 304) v
+            ASOF LEFT JOIN full_responses f ON v.uri = f.uri AND v.captured > f.captured
+        ),
+        judged AS (
+            SELECT m.*, r.etag AS r_etag, r.modified AS r_modified, r.kind AS r_kind, r.payload AS r_payload,
+                   CASE WHEN m.response_id IS NULL THEN 'no_response'
+                        WHEN m.etag IS NOT NULL AND r.etag IS NOT NULL
+                            THEN CASE WHEN regexp_replace(m.etag, '^W/', '') = r.etag THEN 'resolved' ELSE 'changed' END
+                        WHEN m.modified IS NOT NULL AND r.modified IS NOT NULL
+                            THEN CASE WHEN m.modified = r.modified THEN 'resolved' ELSE 'changed' END
+                        ELSE 'unverified' END AS resolution
+            FROM matched m LEFT JOIN named r ON m.response_id = r.record_id
+        )
+        SELECT record_id, uri, captured, resolution, response_id,
+               CASE WHEN resolution IN ('resolved', 'unverified') THEN
+                   'connection: close' || chr(10) || 'content-type: ' || r_kind || chr(10) || 'date: ' || captured
+                   || coalesce(chr(10) || 'etag: ' || coalesce(etag, r_etag), '')
+                   || coalesce(chr(10) || 'last-modified: ' || coalesce(modified, r_modified), '') END AS headers,
+               CASE WHEN resolution IN ('resolved', 'unverified') THEN sha256(r_payload) END AS payload_sha256,
+               CASE WHEN resolution IN ('resolved', 'unverified') THEN CAST(strlen(r_payload) AS BIGINT) END AS payload_bytes
+        FROM judged
+    """,
     "op4_chat": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
