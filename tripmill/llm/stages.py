@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import language, packing
+from tripmill.llm import decontaminate, language, packing, simhash, substring
+from tripmill.llm.common import bounded, table
 from tripmill.llm.queries import held_out, word_vocabulary
 
 #: A document whose best language is less probable than this is rejected.
@@ -14,13 +15,39 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those no language explains; `lang` stays as given."""
+    bounded(spark)
     langs, log_probs = language.learn(docs, train=~held_out())
     found = language.identify(docs, langs, log_probs)
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return kept.select(*docs.columns)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies, the one with the least id."""
+    bounded(spark)
+    return simhash.keep_one(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages that occur more than once; a text with nothing to cut stays as it is."""
+    bounded(spark)
+    cut = F.col("n_removed") > 0
+    return (
+        substring.remove_repeats(docs)
+        .withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text")))
+        .withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        .select(*docs.columns)
+    )
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return decontaminate.drop_copies(docs, table(bounded(spark), sf_dir, "benchmark"))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences; the rows of op8_packing over the documents that are left."""
+    bounded(spark)
     return packing.pack(docs, word_vocabulary).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
