@@ -9,6 +9,9 @@ from tripmill.llm.common import stored, table
 
 STAGES = [
     ("language", stages.language_stage),
+    ("simhash", stages.simhash_stage),
+    ("substring", stages.substring_stage),
+    ("decontamination", stages.decontamination_stage),
     ("packing", stages.packing_stage),
 ]
 
