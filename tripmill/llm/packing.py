@@ -13,6 +13,7 @@ State per task is OPEN_WINDOWS windows and a bounded cache of words, whatever th
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,9 +30,9 @@ WINDOW = 4096
 OPEN_WINDOWS = 16
 MIN_CUT = 32
 MERGE_PARTITIONS = 64
-CACHE_WORDS = 400_000
+CACHE_PIECES = 250_000
 EOS = 2
-PIECES_PER_BATCH = 2000
+PIECES_PER_BATCH = 500
 
 PIECE = [
     T.StructField("start", T.LongType()),
@@ -43,11 +44,30 @@ PIECE = [
 ]
 
 
+# How the vocabulary splits plain text, after lower-casing, and the letters it is plain with.
+PIECE_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]")
+WHITE = re.compile(r"[\t-\r\x20]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the UTF-8 bytes of the plain non-ASCII letters.
+
+    Visible Latin-1 bytes stand for themselves; the others follow from 256 on, in their order.
+    """
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    written = {b: chr(b) for b in visible}
+    written |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in written)}
+    return {c: "".join(written[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class WordEncoder:
-    """Ids of a text as little-endian 32-bit bytes, with the ids of each word kept.
+    """Ids of a text as little-endian 32-bit bytes, with the ids of each piece of a word kept.
 
-    The vocabulary splits at white space before it merges, so ids of a text are those of its words
-    split at ASCII spaces, tabs and line ends. Strings of special tokens in a text are plain text.
+    The vocabulary merges within pieces: runs of letters, digits, runs of other signs. Plain texts are cut
+    into pieces here and only unseen pieces go to the model. Words with any other character go through
+    the whole tokenizer; words are split at ASCII white space, at which pieces end in any case. Strings
+    of special tokens in a text are plain text.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,22 +75,47 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self.known) > CACHE_PIECES:
+            self.known = {}
+        for piece in pieces:
+            if piece not in self.known:
+                written = piece if piece.isascii() else piece.translate(self.letters)
+                self.known[piece] = np.array([t.id for t in self.model.tokenize(written)], dtype="<u4").tobytes()
+
+    def plain(self, text: str) -> bytes:
+        pieces = PIECE_PATTERN.findall(text.lower())
+        try:
+            return b"".join(map(self.known.__getitem__, pieces))
+        except KeyError:
+            self._learn(pieces)
+            return b"".join(map(self.known.__getitem__, pieces))
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        new = list({w for w in words if w not in self.known})
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(coded.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        if not NOT_PLAIN.search(text):
+            return self.plain(text)
+        return b"".join(
+            np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if NOT_PLAIN.search(word)
+            else self.plain(word)
+            for word in WHITE.split(text)
+        )
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The encoder of a vocabulary, kept for the next tasks of a worker."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 class Packer:
@@ -183,7 +228,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, packer = WordEncoder(tokenizer_path()), Packer(window, open_windows, min_cut)
+        encode, packer = encoder(tokenizer_path()), Packer(window, open_windows, min_cut)
         end = np.array([eos], dtype="<u4").tobytes()
         rows: list[tuple] = []
 
