@@ -13,13 +13,20 @@ from tripmill.llm.queries import held_out, word_vocabulary
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def masked(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table under neutral column names, so that no column of it clashes, and the name of each."""
+    names = {name: f"__column_{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those no language explains; `lang` stays as given."""
     bounded(spark)
     langs, log_probs = language.learn(docs, train=~held_out())
-    found = language.identify(docs, langs, log_probs)
+    plain, names = masked(docs)
+    found = language.identify(plain, langs, log_probs, text_column=names["text"])
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col(c).alias(n) for n, c in names.items()])
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +38,12 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that occur more than once; a text with nothing to cut stays as it is."""
     bounded(spark)
+    plain, names = masked(docs)
     cut = F.col("n_removed") > 0
-    return (
-        substring.remove_repeats(docs)
-        .withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text")))
-        .withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
+    found = substring.remove_repeats(plain, id_column=names["doc_id"], text_column=names["text"])
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return found.select(
+        *[F.when(cut, new[n]).otherwise(F.col(c)).alias(n) if n in new else F.col(c).alias(n) for n, c in names.items()]
     )
 
 
