@@ -1,0 +1,79 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from tripmill.llm import language
+from tripmill.llm.queries import QUERIES
+
+LANGS = {"en": "the cat sat with this thing and that thought", "de": "schöne grüße über straße und weiß", "fr": "où être là çà déjà vu garçon"}
+
+
+def labelled(docs):
+    return docs(*[(i, f"{text} {i}", lang) for n, (lang, text) in enumerate(LANGS.items()) for i in range(n * 10, n * 10 + 10)])
+
+
+def test_grams_match_plain_python():
+    texts = ["Ab, cd", "", "É--é", "x", "12"]
+    bucket, owner = language.grams(texts)
+
+    def plain(text):
+        codes = [" "]
+        for c in text.lower():
+            if c.isalpha():
+                codes.append(c)
+            elif codes[-1] != " ":
+                codes.append(" ")
+        if codes[-1] != " ":
+            codes.append(" ")
+        return sum(any(x.isalpha() for x in codes[i : i + n]) for n in language.ORDERS for i in range(len(codes) - n + 1))
+
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [plain(t) for t in texts]
+    assert (bucket < language.BUCKETS).all()
+
+
+def test_scores_match_plain_sums(spark, docs):
+    langs, log_probs = language.learn(labelled(docs), train=F.lit(True))
+    assert langs == sorted(LANGS)
+    texts = ["the thought", "grüße", None, "123 !", "", "garçon là"]
+    names, chances = language.score(texts, langs, np.ascontiguousarray(log_probs.T))
+    for text, name, chance in zip(texts, names, chances):
+        bucket, _ = language.grams([text or ""])
+        if not len(bucket):
+            assert (name, chance) == (language.UNKNOWN, 0)
+            continue
+        sums = [float(sum(np.float64(row[b]) for b in bucket)) for row in log_probs]
+        odds = np.exp(np.array(sums) - max(sums))
+        assert name == langs[int(np.argmax(sums))] and abs(chance - odds.max() / odds.sum()) < 1e-6
+    assert names[0] == "en" and names[1] == "de" and names[5] == "fr"
+
+
+def test_query_accuracy_on_held_out(spark, sf_dir):
+    got = QUERIES["op2_language"](spark, sf_dir)
+    truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = got.join(truth, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.95 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_edge_rows(spark, docs, clashing):
+    langs, log_probs = language.learn(labelled(docs), train=F.lit(True))
+    rows = clashing(docs((1, None), (2, ""), (2, ""), (None, "the thing"), (4, "the cat " * 100_000)))
+    got = language.identify(rows, langs, log_probs)
+    assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in got.collect()) == [(0, "en"), (1, "und"), (2, "und"), (2, "und"), (4, "en")]
+    assert got.columns.count("score") == 1
+    assert language.identify(docs(), langs, log_probs).count() == 0
+
+
+def test_nothing_to_learn(spark, docs):
+    langs, log_probs = language.learn(docs((1, "x", None), (2, None, "en")), train=F.lit(True))
+    assert langs == []
+    assert language.identify(docs((1, "abc")), langs, log_probs).first()["lang_pred"] == "und"
+
+
+def test_training_rows_are_bounded(spark, docs):
+    many = docs(*[(i, f"word {i}", "en") for i in range(2000)])
+    _, all_rows = language.learn(many, train=F.lit(True), train_rows=5000)
+    _, some = language.learn(many, train=F.lit(True), train_rows=50)
+    assert not np.allclose(all_rows, some)

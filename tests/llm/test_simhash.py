@@ -1,0 +1,127 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from tripmill.llm import components, simhash
+from tripmill.llm.queries import QUERIES
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_print(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_classes(prints, limit=4):
+    """Least position reachable from each."""
+    arr = np.array(prints, dtype=np.uint64)
+    label = list(range(len(arr)))
+    changed = True
+    near = [np.flatnonzero(np.bitwise_count(arr ^ x) <= limit) for x in arr]
+    while changed:
+        changed = False
+        for i, ns in enumerate(near):
+            least = min(label[j] for j in ns)
+            for j in ns:
+                if label[j] > least:
+                    label[j] = least
+                    changed = True
+    return label
+
+
+def clustered(rng, n):
+    """Random fingerprints with chains of near ones and dense balls."""
+    out = [rng.getrandbits(64) for _ in range(n // 4)]
+    while len(out) < n:
+        x = rng.choice(out)
+        for b in rng.sample(range(64), rng.randint(0, 6)):
+            x ^= 1 << b
+        out.append(x)
+    ball = rng.getrandbits(64)
+    return out + [ball ^ sum(1 << b for b in rng.sample(range(12), rng.randint(0, 3))) for _ in range(n // 4)]
+
+
+@pytest.mark.parametrize("text", ["", None, " \n", "One", "a b c", "A B C D", "É é x y z", "a b c d e f g " * 50, "x y z \x1c w q"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_print(text)
+
+
+def test_gray_rank_inverts_the_code():
+    n = np.arange(1000, dtype=np.uint64)
+    assert (simhash.gray_rank(n ^ (n >> np.uint64(1))) == n).all()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_forest_connects_like_all_pairs(seed):
+    rng = random.Random(seed)
+    prints = np.unique(np.array(clustered(rng, 40 + 150 * seed), dtype=np.uint64))
+    u, v = simhash.forest(prints)
+    place = {int(p): i for i, p in enumerate(prints)}
+    labels = simhash.join_labels(np.arange(len(prints)), np.array([place[int(x)] for x in u], int), np.array([place[int(x)] for x in v], int))
+    assert labels.tolist() == brute_classes(prints)
+    assert len(u) < len(prints)
+
+
+def test_pruning_skips_groups():
+    rng = random.Random(3)
+    index = simhash.GrayIndex(np.unique(np.array([rng.getrandbits(64) for _ in range(3000)], dtype=np.uint64)))
+    assert sum((a != b).sum() for a, b in index.links(4)) == 0
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 7])
+def test_near_prints_share_a_key(blocks):
+    rng = random.Random(blocks)
+    masks = simhash.block_masks(blocks)
+    for _ in range(300):
+        x = rng.getrandbits(64)
+        y = x
+        for b in rng.sample(range(64), 4):
+            y ^= 1 << b
+        assert any(x & m == y & m for m in masks)
+
+
+@pytest.mark.parametrize("split", [1 << 16, 4])
+def test_classes_match_brute_force(spark, monkeypatch, split):
+    monkeypatch.setattr(simhash, "SPLIT_ROWS", split)
+    rng = random.Random(split)
+    prints = clustered(rng, 200)
+    prints += prints[:30]
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "doc_id long, fingerprint long").repartition(3)
+    got = {r["fingerprint"]: r["component_id"] for r in simhash.classes(frame).collect()}
+    want = brute_classes(prints)
+    assert [got[p] for _, p in rows] == want
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (None, 3)]
+    got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 140)}}
+    assert components.connected(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_query(spark, docs, write_table):
+    base = " ".join(f"w{i}" for i in range(300))
+    texts = [base, base + " more", base.upper(), None, "", "alone in here now", base.replace("w7 ", "x ")]
+    folder = write_table(documents=docs(*((10 + i, t) for i, t in enumerate(texts))))
+    got = {r["doc_id"]: r for r in QUERIES["op9_simhash"](spark, folder).collect()}
+    want = brute_classes([plain_print(t) for t in texts])
+    for i, t in enumerate(texts):
+        assert got[10 + i]["fingerprint"] == f"{plain_print(t):016x}"
+        assert got[10 + i]["component_id"] == 10 + want[i]
+
+
+def test_keep_one_and_edges(spark, docs, clashing):
+    rows = clashing(docs((5, "a b c d e"), (3, "A b c d e"), (3, "A b c d e"), (None, "other words in this"), (None, "other words in this"), (8, None)))
+    kept = simhash.keep_one(rows)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect() if r["text"]) == [(0, "other words in this"), (3, "A b c d e")]
+    assert kept.count() == 3 and kept.columns == rows.columns
+    assert simhash.keep_one(docs()).count() == 0
+    assert simhash.near_copies(docs()).count() == 0

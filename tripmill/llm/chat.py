@@ -1,8 +1,9 @@
 """Chat formatting: every reply becomes an example of its own, with all earlier turns as context.
 
-A turn is written `### role: text</turn>` and a line end. Inside roles and texts a backslash is put
-before each backslash, `#` and `<`, in roles also before `:`, so no text can hold a control string, and
-dropping the backslashes gives the text back. Lengths and spans count code points.
+A turn is written `### role: text</turn>` and a line end. Inside roles and texts a backslash is written
+as `\\b`, `#` as `\\h` and `<` as `\\l`, in roles also `:` as `\\c`. So no text can hold a control string or
+a part of one that begins it, every backslash is followed by a letter that tells what stood there, and the
+text can be read back. Lengths and spans count code points.
 
 All of it is DataFrame functions. Turns of one conversation meet in one row, because an example holds
 all of them anyway; the expansion itself is a sum over turns and grows with the square of the length of
@@ -16,18 +17,27 @@ from pyspark.sql import functions as F
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 REPLY = "assistant"
+ESCAPES = [("\\", "\\b"), ("#", "\\h"), ("<", "\\l")]
+ROLE_ESCAPE = (":", "\\c")
+
+
+def _replace(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([\\#<])", r"\\$1")
+    return _replace(text, ESCAPES)
 
 
 def escape_role(role: Column) -> Column:
-    return F.regexp_replace(role, r"([\\#<:])", r"\\$1")
+    return _replace(escape(role), [ROLE_ESCAPE])
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    """The text as it was; backslashes come last, so that none of them begins another escape."""
+    return _replace(text, [(new, old) for old, new in [ROLE_ESCAPE, *reversed(ESCAPES)]])
 
 
 def expand(turns: DataFrame, *, reply_role: str = REPLY) -> DataFrame:
@@ -106,7 +116,7 @@ def read_back(examples: DataFrame) -> DataFrame:
     )
     written = F.split("whole", CLOSE)
     turns = F.slice(written, F.lit(1), F.size(written) - 1)
-    pattern = r"(?s)^### ((?:[^\\:]|\\.)*): (.*)$"
+    pattern = "(?s)^### ([^:]*): (.*)$"
 
     def said(turn: Column) -> Column:
         role, text = (F.regexp_extract(turn, pattern, i) for i in (1, 2))
