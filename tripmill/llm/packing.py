@@ -29,7 +29,7 @@ from tripmill.llm.common import stored
 WINDOW = 4096
 OPEN_WINDOWS = 16
 MIN_CUT = 32
-MERGE_PARTITIONS = 64
+MERGE_PARTITIONS = 16
 CACHE_PIECES = 250_000
 EOS = 2
 PIECES_PER_BATCH = 500
