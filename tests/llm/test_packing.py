@@ -2,21 +2,12 @@ import random
 import zlib
 
 import numpy as np
-import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from llm_brute import ids_of
 from tripmill.llm import packing
 from tripmill.llm.queries import QUERIES, word_vocabulary
 
-TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-TOKENIZER.encode_special_tokens = True
-
-
-def ids_of(text):
-    return np.array(TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
-
-
 def check(rows, texts, window=4096):
     """Every id of every document in one piece; sequences without gaps and within the window."""
     sequences, by = {}, {}

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from llm_brute import brute_classes
 from tripmill.llm import components, simhash
 from tripmill.llm.queries import QUERIES
 
@@ -19,23 +20,6 @@ def plain_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_classes(prints, limit=4):
-    """Least position reachable from each."""
-    arr = np.array(prints, dtype=np.uint64)
-    label = list(range(len(arr)))
-    changed = True
-    near = [np.flatnonzero(np.bitwise_count(arr ^ x) <= limit) for x in arr]
-    while changed:
-        changed = False
-        for i, ns in enumerate(near):
-            least = min(label[j] for j in ns)
-            for j in ns:
-                if label[j] > least:
-                    label[j] = least
-                    changed = True
-    return label
-
-
 def clustered(rng, n):
     """Random fingerprints with chains of near ones and dense balls."""
     out = [rng.getrandbits(64) for _ in range(n // 4)]

@@ -1,30 +1,12 @@
 import hashlib
 import random
-import re
-from collections import Counter
 
 import numpy as np
 import pytest
+from llm_brute import brute_substring as brute
 from tripmill.llm import substring
 from tripmill.llm.queries import QUERIES
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def brute(texts, window):
-    """(n_words, n_removed, kept) of each text."""
-    words = [WORDS.findall(t or "") for t in texts]
-    counts = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
-    out = []
-    for w in words:
-        goes = set()
-        for i in range(len(w) - window + 1):
-            if counts[tuple(w[i : i + window])] > 1:
-                goes.update(range(i, i + window))
-        out.append((len(w), len(goes), " ".join(x for i, x in enumerate(w) if i not in goes)))
-    return out
-
-
 def corpus(seed, n, window):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(1, 4)))
