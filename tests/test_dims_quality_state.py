@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators import dims, quality, skew, state
 from tripmill.operators.silver import first_occurrence, first_occurrence_by_min
+from tripmill.sources.keyed import KeyedTable, committed
 from tripmill.sources import files, tables
 
 DAY = dt.date(2024, 1, 1)
@@ -163,22 +164,54 @@ def test_upsert_delete_and_unseen(spark, rows):
     assert [(r["k"], r["v"]) for r in rows(new)] == [("c", 5)]
 
 
-def test_keyed_table_puts_and_deletes(spark, rows, tmp_path):
-    path, schema = str(tmp_path / "rides"), "ride_id string, status string, n int"
-    tables.create_keyed(
-        spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], schema), path, "ride_id", 4
-    )
-    new = spark.createDataFrame([("r1", "completed", 1), ("r99", "requested", 99)], schema)
+RIDES = "ride_id string, status string, n int"
+
+
+def keyed(spark, path, merge=None):
+    schema = spark.createDataFrame([], RIDES).schema
+    return KeyedTable(spark, str(path), "ride_id", schema, KeyedTable.hashed("ride_id", 4), merge)
+
+
+def test_keyed_table_puts_deletes_and_compacts(spark, rows, tmp_path):
+    table = keyed(spark, tmp_path / "rides")
+    assert table.read().count() == 0
+    table.put(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
+    new = spark.createDataFrame([("r1", "completed", 1), ("r99", "requested", 99)], RIDES)
     for _ in range(2):  # a repeated put changes nothing
-        tables.save_latest(new, path, "ride_id", ["n"], 4)
-        got = {r["ride_id"]: r["status"] for r in rows(tables.read_keyed(spark, path, "ride_id"))}
+        table.put(new, 1)
+        got = {r["ride_id"]: r["status"] for r in rows(table.read())}
         assert len(got) == 41 and got["r1"] == "completed" and got["r2"] == "requested"
-    everyone = tables.read_keyed(spark, path, "ride_id").filter("ride_id <> 'r5'").select("ride_id").collect()
-    tables.delete_keys(spark.createDataFrame(everyone), path, "ride_id", 4)
-    assert [r["ride_id"] for r in rows(tables.read_keyed(spark, path, "ride_id"))] == ["r5"]
-    tables.save_latest(new, path, "ride_id", ["n"], 4)
-    assert tables.read_keyed(spark, path, "ride_id").count() == 3
-
+    table.delete(table.read().filter("ride_id <> 'r5'"))
+    assert [r["ride_id"] for r in rows(table.read())] == ["r5"]
+    for _ in range(3):
+        table.compact()
+        table.put(new)
+        assert sorted(r["ride_id"] for r in rows(table.read())) == ["r1", "r5", "r99"]
+    # Only the last compaction and what is newer, and the one before for its readers, are kept.
+    assert len(committed(spark, f"{tmp_path}/rides/compacted")) == 2 and len(committed(spark, f"{tmp_path}/rides")) <= 2
+
+
+def test_a_put_that_stops_half_way_loses_nothing(spark, rows, tmp_path):
+    table = keyed(spark, tmp_path / "rides")
+    table.put(spark.createDataFrame([("a", "requested", 1), ("b", "requested", 1)], RIDES), 0)
+    bad = spark.createDataFrame([("a", "completed", 2)], RIDES).withColumn(
+        "n", F.when(F.col("n") == 2, F.raise_error(F.lit("stopped")).cast("int"))
+    )
+    with pytest.raises(Exception, match="stopped"):
+        table.put(bad, 1)
+    assert {r["ride_id"]: r["status"] for r in rows(table.read())} == {"a": "requested", "b": "requested"}
+    table.put(spark.createDataFrame([("a", "completed", 2)], RIDES), 1)
+    assert {r["ride_id"]: r["status"] for r in rows(table.read())} == {"a": "completed", "b": "requested"}
+
+
+def test_a_lookup_reads_one_folder(spark, rows, tmp_path):
+    table = keyed(spark, tmp_path / "rides")
+    table.put(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
+    table.put(spark.createDataFrame([("r7", "completed", 7)], RIDES))
+    found = table.find("r7")
+    assert [r["status"] for r in rows(found)] == ["completed"]
+    assert "PartitionFilters: [isnotnull(_split" in found._jdf.queryExecution().toString()
+    assert table.find("none").count() == 0
 
 def test_tables_views_sql_and_retention(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-05"), (3, "2024-01-09")], "id int, day string")

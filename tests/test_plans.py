@@ -61,8 +61,9 @@ def test_replay_and_rollups_aggregate_before_the_shuffle(stored):
 
 
 def test_no_python_in_batch_plans(spark, sf_dir):
-    streams = {"window_5min_stream", "stream_dedup", "landing", "stream_rides_current"}
-    writes = {"ride_state_upsert", "ride_delete", "parquet_roundtrip", "ndjson_roundtrip", "dq_summary", "fact_rides_star"}
+    streams = {"window_5min_stream", "stream_dedup", "landing", "landing_rejects", "stream_rides_current"}
+    writes = {"ride_state_upsert", "ride_delete", "parquet_roundtrip", "ndjson_roundtrip", "dq_summary", "fact_rides_star", "ride_by_id",
+              "event_history", "rides_by_status", "layer_rebuild", "build_rejects", "layer_retention", "registered_partitions"}
     for name in set(QUERIES) - streams - writes:
         text = plan(QUERIES[name](spark, sf_dir))
         physical = text[text.index("== Physical Plan =="):]
@@ -90,3 +91,54 @@ def test_work_folder_is_the_one_the_session_names(spark):
 def test_lineage_columns(spark, sf_dir):
     row = ingest.with_lineage(spark.read.parquet(f"{sf_dir}/orders.parquet")).first()
     assert row._source_file.endswith("orders.parquet") and row._loaded_at is not None
+
+
+def test_id_difference_shuffles_once(spark):
+    from tripmill.operators import quality
+
+    df = spark.createDataFrame([("a",), ("b",), ("b",)], "event_id string")
+    found = quality.id_difference(df, df.filter("event_id = 'a'"), "event_id")
+    text = plan(found)
+    assert text[text.index("== Physical Plan ==") :].count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in found.collect()] == [("b", "left")]
+
+
+def test_a_second_build_equals_a_fresh_one(spark, sf_dir, tmp_path):
+    log = bindings.bronze(spark, sf_dir)
+    early = log.filter(F.col("timestamp") < "1996-01-01")
+    medallion.build(spark, log, f"{tmp_path}/a")
+    again = medallion.build(spark, early, f"{tmp_path}/a")
+    fresh = medallion.build(spark, early, f"{tmp_path}/b")
+    for name, df in fresh.items():
+        mine, theirs = (x.drop("_loaded_at", "_dlq_timestamp") for x in (again[name], df))
+        assert mine.exceptAll(theirs).count() == theirs.exceptAll(mine).count() == 0, name
+
+
+def test_a_build_that_stops_leaves_the_last_one_in_force(spark, sf_dir, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    rides = medallion.build(spark, bindings.bronze(spark, sf_dir), base)["stg_rides"].count()
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setitem(medallion.GOLD_MODELS, "driver_metrics", stop)
+    with pytest.raises(RuntimeError):
+        medallion.build(spark, bindings.bronze(spark, sf_dir).limit(10), base)
+    assert medallion.read_layers(spark, base)["stg_rides"].count() == rides
+
+
+def test_nothing_of_bronze_is_lost_in_a_build(spark, tmp_path):
+    from tripmill.sources.files import read_ndjson
+
+    lines = [
+        '{"event_id":"1","ride_id":"r","event_type":"ride_requested","timestamp":"2024-01-01T00:00:00"}',
+        "not json",
+        '{"event_id":"2","ride_id":"r","event_type":"ride_accepted","timestamp":"someday"}',
+        '{"event_id":"3","ride_id":null,"event_type":"ride_accepted","timestamp":"2024-01-01T00:00:00"}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_path}/in")
+    built = medallion.build(spark, read_ndjson(spark, f"{tmp_path}/in"), f"{tmp_path}/out")
+    assert [r.event_id for r in built["stg_rides"].collect()] == ["1"]
+    assert sorted(r._error for r in built["rejects"].collect()) == ["bad_timestamp", "malformed;missing_event_id;missing_ride_id;missing_event_type;missing_timestamp", "missing_ride_id"] or sorted(
+        r._error for r in built["rejects"].collect()
+    ) == ["bad_timestamp", "malformed", "missing_ride_id"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.operators import lifecycle
 from tripmill.plans import bindings
 from tripmill.schemas import ACCEPTED, BRONZE, COMPLETED, GPS, REQUESTED, STARTED
-from tripmill.sources import files, tables
+from tripmill.sources import files
 from tripmill.streaming import events as se
 from tripmill.streaming import lifecycle as sl
 from tripmill.streaming import metrics as sm
@@ -60,12 +60,12 @@ def test_update_stream_restarts_and_equals_the_batch(spark, metric_rows, tmp_pat
         return se.run_available(sm.write_windows(sm.window_metrics(stream, watermark="2 hours"), out, offsets))
 
     run()
-    before = sm.read_windows(spark, out)
+    before = sm.read_windows(spark, out, sm.window_metrics(metric_rows).schema)
     assert same(before, sm.window_metrics(metric_rows.filter(half)).select(*before.columns))
     write(metric_rows.filter(~half), source)
     write(metric_rows.filter(half).limit(20), source)
     query = run()
-    after = sm.read_windows(spark, out)
+    after = sm.read_windows(spark, out, sm.window_metrics(metric_rows).schema)
     again = metric_rows.unionByName(metric_rows.filter(half).limit(20))
     assert same(after, sm.window_metrics(again).select(*after.columns))
     assert sum(p["numInputRows"] for p in query.recentProgress) == again.count() - metric_rows.filter(half).count()
@@ -90,7 +90,7 @@ def test_rows_later_than_the_watermark_are_dropped_and_counted(spark, tmp_path):
         write(df, source)
         stream = files.stream_files(spark, source, df.schema)
         queries.append(se.run_available(sm.write_windows(sm.window_metrics(stream), out, offsets)))
-    kept = {r.window_start for r in sm.read_windows(spark, out).collect()}
+    kept = {r.window_start for r in sm.read_windows(spark, out, sm.window_metrics(df).schema).collect()}
     assert kept == {minutes(60), minutes(90), minutes(85)}
     assert [se.dropped_by_watermark(q) for q in queries] == [0, 0, 1, 0]
 
@@ -139,27 +139,43 @@ def ride_events(spark):
     )
 
 
-def test_ride_states_equal_the_batch_replay_in_any_order_of_arrival(spark, tmp_path):
+@pytest.mark.parametrize("max_files", [1, 2, 5])
+def test_ride_table_equals_the_batch_replay_for_any_split_into_batches(spark, tmp_path, max_files):
     df = ride_events(spark)
-    columns = [c for c in lifecycle.replayed(df).columns]
-    source, out, offsets = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
-    late_first = [F.col("event_type").isin(COMPLETED, GPS), ~F.col("event_type").isin(COMPLETED, GPS)]
-    first = True
-    for part in (*late_first, late_first[0]):  # the last one repeats the first: redelivery
-        write(df.filter(part), source)
-        rides = sl.ride_states(files.stream_files(spark, source, df.schema))
-        if first:
-            tables.create_keyed(spark.createDataFrame([], rides.schema), out, "ride_id", 2)
-            first = False
-        se.run_available(sl.write_ride_states(rides, out, offsets, 2))
-    got = tables.read_keyed(spark, out, "ride_id").select(*columns)
-    assert same(got, lifecycle.replayed(df).select(*columns))
-
-
-def test_thinning_keeps_what_decides(spark):
-    import pandas as pd
-
-    pdf = pd.DataFrame({"ride_id": ["r"] * 5, "event_type": [GPS] * 4 + [STARTED], "event_id": list("abcde"),
-                        "at_ord": [4, 3, 2, 1, 9]})
-    (kept,) = sl._deciding(iter([pdf]))
-    assert sorted(kept.event_id) == ["c", "d", "e"]
+    late = df.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("interval 400 days")).filter("ride_id = 'a' AND event_type = 'gps_update'")
+    late = late.withColumn("event_id", F.lit("very late"))
+    source, offsets = str(tmp_path / "in"), str(tmp_path / "cp")
+    done = F.col("event_type").isin(COMPLETED, GPS)
+    for part in (late, df.filter(done), df.filter(~done), df.filter(done), df.filter("ride_id = 'd'")):
+        write(part, source)  # the last two repeat events: redelivery
+    table = sl.ride_table(spark, str(tmp_path / "rides"), df.schema, 2)
+    stream = files.stream_files(spark, source, df.schema, max_files=max_files)
+    query = se.run_available(sl.write_rides(stream, table, offsets, compact_every=2))
+    assert len(query.recentProgress) >= 5 // max_files
+    want = lifecycle.replayed(df.unionByName(late))
+    assert same(sl.read_rides(table).select(*want.columns), want)
+    assert "Python" not in sl.read_rides(table)._jdf.queryExecution().toString()
+
+
+def test_windows_of_a_repeated_batch_stay(spark, metric_rows, tmp_path):
+    rows = sm.window_metrics(metric_rows)
+    table = sm.window_table(spark, str(tmp_path / "w"), rows.schema)
+    table.put(rows.withColumn("rides_completed_count", F.lit(0).cast("bigint")), 0)
+    for _ in range(2):
+        table.put(rows, 1)
+    assert same(sm.read_windows(spark, str(tmp_path / "w"), rows.schema), rows)
+
+
+def test_streams_read_a_table_stored_as_a_folder(spark, sf_dir, tmp_path):
+    from tripmill.plans.oracles import ORACLES
+    from tripmill.plans.queries import QUERIES, _event_stream
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(4, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    stream = _event_stream(spark, str(tmp_path), max_files=1)
+    out = str(tmp_path / "out")
+    query = se.run_available(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")))
+    assert spark.read.parquet(out).count() == events.count() and len(query.recentProgress) >= 4
+    for name in ("window_5min_stream", "stream_dedup", "landing", "landing_rejects"):
+        assert name in ORACLES
+        assert same(QUERIES[name](spark, str(tmp_path)), QUERIES[name](spark, sf_dir))

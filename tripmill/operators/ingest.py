@@ -47,10 +47,15 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
 
     Missing amounts become 0 and a missing or zero surge becomes 1. A location falls back to the
     pickup and then to the dropoff, but not where the payload names it with an empty value.
-    Numbers that cannot be read are listed in `bad_numbers`.
+    Numbers that cannot be read are listed in `bad_numbers`, and `bad_data` marks a payload that is no
+    JSON object.
     """
     nested = "data" in events.columns
-    step = events.withColumn("_d", once(F.from_json("data", EVENT_DATA))) if nested else events
+    # The keys are NULL where the text is no JSON object.
+    step = events
+    if nested:
+        parsed = F.struct(F.from_json("data", EVENT_DATA).alias("fields"), F.json_object_keys("data").alias("keys"))
+        step = events.withColumn("_p", once(parsed)).withColumns({"_d": F.col("_p.fields"), "_keys": F.col("_p.keys")})
 
     def text(name: str) -> Column:
         options = [F.col(name)] if name in events.columns else []
@@ -67,7 +72,7 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
         fallback = F.coalesce(number(pickup), number(dropoff))
         if not nested:
             return F.coalesce(number(own), fallback)
-        named = F.coalesce(F.array_contains(F.json_object_keys("data"), own), F.lit(False))
+        named = F.coalesce(F.array_contains("_keys", own), F.lit(False))
         return F.coalesce(number(own), F.when(~named, fallback))
 
     metres = F.when(
@@ -91,6 +96,8 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
         columns |= {name: number(name) for name in TRIP_COLUMNS}
         columns |= {"cancel_reason": F.col("_t_reason"), "currency": F.col("_t_currency")}
     columns["bad_numbers"] = F.array_compact(F.array(*bad))
+    unreadable = present(F.col("data")) & F.col("_keys").isNull() if nested else F.lit(False)
+    columns["bad_data"] = F.coalesce(unreadable, F.lit(False))
     return step.select(*keep, *[c.alias(name) for name, c in columns.items()])
 
 
@@ -135,6 +142,8 @@ def check_event(df: DataFrame) -> DataFrame:
     }
     if "bad_numbers" in df.columns:
         checks["bad_number"] = F.size("bad_numbers") > 0
+    if "bad_data" in df.columns:
+        checks["bad_data"] = F.col("bad_data")
     return _with_reasons(df, checks)
 
 

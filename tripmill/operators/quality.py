@@ -166,8 +166,9 @@ def reconcile_totals(parts: DataFrame, whole: DataFrame, amount: str) -> DataFra
 
 
 def id_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Ids found on one side only."""
-    a = left.select(key).distinct()
-    b = right.select(key).distinct()
-    only_left = a.subtract(b).withColumn("side", F.lit("left"))
-    return only_left.unionByName(b.subtract(a).withColumn("side", F.lit("right")))
+    """Ids found on one side only, from one grouping of both sides."""
+    both = left.select(key, F.lit(True).alias("_left"), F.lit(False).alias("_right")).unionByName(
+        right.select(key, F.lit(False).alias("_left"), F.lit(True).alias("_right"))
+    )
+    found = both.groupBy(key).agg(F.max("_left").alias("_left"), F.max("_right").alias("_right"))
+    return found.filter("_left != _right").select(key, F.when(F.col("_left"), "left").otherwise("right").alias("side"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators import gold
+from tripmill.operators.ingest import check_event, check_payload, dead_letters, valid_rows
 from tripmill.operators.quality import (
     bronze_checks,
     not_null,
@@ -16,7 +17,9 @@ from tripmill.operators.quality import (
     summarise_unique,
 )
 from tripmill.operators.silver import stamp_loaded, to_silver
+from tripmill.schemas import CORRUPT
 from tripmill.sources.files import write_partitioned
+from tripmill.sources.keyed import DELTA, committed, mark_done, remove
 
 GOLD_MODELS = {
     "stg_metrics": gold.hourly_metrics,
@@ -26,22 +29,50 @@ GOLD_MODELS = {
 }
 
 
-def build(spark: SparkSession, bronze: DataFrame, base: str) -> dict[str, DataFrame]:
-    """Write silver once, by event date, and every gold model from it; returns the written tables.
+def split_bronze(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that silver can take, and the others with their reasons as `_error`.
 
-    The models read silver's columns from Parquet, so the deduplication runs a single time.
+    Rejected are unreadable lines, rows without event or ride id, unknown types and unreadable times.
     """
-    dated = stamp_loaded(to_silver(bronze)).withColumn("event_date", F.to_date("event_timestamp"))
-    write_partitioned(dated, f"{base}/stg_rides", "event_date", ("ride_id", "event_timestamp"))
-    silver = spark.read.parquet(f"{base}/stg_rides")
-    written = {"stg_rides": silver}
+    checked = check_event(check_payload(bronze))
+    return valid_rows(checked).drop(CORRUPT), dead_letters(checked)
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The folder of the newest version that was built to the end."""
+    done = committed(spark, base)
+    return f"{base}/{DELTA}={done[-1]}" if done else None
+
+
+def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day") -> dict[str, DataFrame]:
+    """Build all layers anew in a version folder of their own; returns the written tables.
+
+    Nothing of an earlier version is read or kept in the new one: silver by event date (the day, or the
+    first day of a longer `period`), the rejects of bronze with reasons, and every gold model from silver.
+    The version counts once all of it is written, so a build that stops half way leaves the last one in
+    force. The version before it is kept for its readers, older ones are removed. Silver and rejects together
+    have every row of bronze but the redeliveries.
+    """
+    done = committed(spark, base)
+    version = f"{base}/{DELTA}={done[-1] + 1 if done else 0}"
+    remove(spark, version)
+    good, bad = split_bronze(bronze)
+    stamp_loaded(bad).write.parquet(f"{version}/rejects")
+    dated = stamp_loaded(to_silver(good)).withColumn("event_date", F.to_date(F.date_trunc(period, "event_timestamp")))
+    write_partitioned(dated, f"{version}/stg_rides", "event_date", ("ride_id", "event_timestamp"))
+    silver = spark.read.parquet(f"{version}/stg_rides")
     for name, model in GOLD_MODELS.items():
-        path = f"{base}/{name}"
-        stamp_loaded(model(silver)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(path)
-        written[name] = spark.read.parquet(path)
-    return written
+        stamp_loaded(model(silver)).write.parquet(f"{version}/{name}")
+    mark_done(spark, version)
+    for n in done[:-1]:
+        remove(spark, f"{base}/{DELTA}={n}")
+    return read_layers(spark, base)
+
+
+def read_layers(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The tables of the newest version."""
+    version = current_version(spark, base)
+    return {name: spark.read.parquet(f"{version}/{name}") for name in ("stg_rides", "rejects", *GOLD_MODELS)}
 
 
 def _summaries(bronze: DataFrame, models: dict[str, DataFrame]) -> list[DataFrame]:

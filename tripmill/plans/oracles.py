@@ -355,6 +355,9 @@ replayed AS (
     LEFT JOIN accepts a USING (ride_id) LEFT JOIN reasons c USING (ride_id)
 )"""
 
+# The same with its two large parts computed once.
+STORED = REPLAYED.replace("bronze AS (", "bronze AS MATERIALIZED (").replace("replayed AS (", "replayed AS MATERIALIZED (")
+
 CURRENT = f"WITH {REPLAYED} SELECT * EXCLUDE (error) FROM replayed WHERE error IS NULL"
 STATES = "ride_id, status, driver_id, distance_km, fare_cents, completed_at"
 
@@ -670,12 +673,14 @@ ORACLES: dict[str, str] = {
     "ride_state_upsert": f"WITH {REPLAYED} SELECT {STATES} FROM replayed WHERE error IS NULL",
     "ride_delete": f"""WITH {REPLAYED} SELECT {STATES} FROM replayed
         WHERE error IS NULL AND status <> 'cancelled'""",
-    "event_history": f"""WITH {REPLAYED}
+    "ride_by_id": f"""WITH {REPLAYED} SELECT {STATES} FROM replayed WHERE error IS NULL
+        ORDER BY ride_id DESC LIMIT 1""",
+    "event_history": f"""WITH {STORED}
         SELECT event_id, ride_id, event_type, "timestamp",
             '{{' || CASE WHEN rider_id IS NULL THEN '' ELSE '"rider_id":"' || rider_id || '",' END
             || CASE WHEN driver_id IS NULL THEN '' ELSE '"driver_id":"' || driver_id || '",' END
             || '"fare_cents":' || fare_cents || '}}' AS data
-        FROM bronze WHERE ride_id IN (SELECT ride_id FROM replayed WHERE error IS NOT NULL)""",
+        FROM bronze SEMI JOIN (SELECT ride_id FROM replayed WHERE error IS NOT NULL) USING (ride_id)""",
     "dq_summary": dq_summary(),
     "dq_violations": f"""{ONCE},
         broken AS (
@@ -739,4 +744,32 @@ ORACLES: dict[str, str] = {
             CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
             CAST(day(ts) AS INTEGER) AS day
         FROM valid""",
+    "landing_rejects": f"""WITH {MESSAGES}
+        SELECT CASE WHEN event_type <> 'view' THEN CAST(event_id AS VARCHAR) END AS event_id,
+            CASE WHEN event_type = 'error' THEN 'r' || event_id END AS ride_id,
+            CASE WHEN event_type = 'view' THEN substr('{{"event_id":"' || event_id || '","ride_id":"r'
+                || event_id || '","event_type":"gps_update"', 1, 40) END AS raw_text,
+            CASE event_type WHEN 'view' THEN 'malformed' WHEN 'click' THEN 'missing_ride_id'
+                ELSE 'unknown_event_type' END AS _error
+        FROM messages WHERE event_type NOT IN ('purchase', 'signup')""",
+    "layer_rebuild": f"""{ONCE}
+        SELECT CAST(event_timestamp AS DATE) AS event_date, event_type, count(*) AS events
+        FROM silver WHERE event_timestamp < TIMESTAMP '{CHANGE_CUT}' GROUP BY ALL""",
+    "build_rejects": f"""WITH {BRONZE},
+        marked AS (
+            SELECT CASE WHEN k % 7 <> 0 THEN event_id END AS event_id, ride_id,
+                CASE WHEN k % 13 = 0 THEN 'ride_teleported' ELSE event_type END AS event_type,
+                k % 11 = 0 AS late
+            FROM (SELECT *, CAST(ride_id AS BIGINT) AS k FROM bronze))
+        SELECT event_id, ride_id, event_type,
+            CASE WHEN event_id IS NULL AND event_type = 'ride_teleported' THEN 'missing_event_id;unknown_event_type'
+                 WHEN event_id IS NULL THEN 'missing_event_id'
+                 WHEN event_type = 'ride_teleported' THEN 'unknown_event_type' ELSE 'bad_timestamp' END AS _error
+        FROM marked WHERE event_id IS NULL OR event_type = 'ride_teleported' OR late""",
+    "layer_retention": f"""{ONCE}
+        SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month, count(*) AS events FROM silver
+        WHERE date_trunc('month', event_timestamp) >= DATE '{AS_OF}' - {RETENTION_DAYS} GROUP BY 1""",
+    "registered_partitions": f"""{ONCE}
+        SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month, count(*) AS events
+        FROM silver GROUP BY 1""",
 }

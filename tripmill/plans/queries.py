@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from tripmill.plans import bindings as bind
 from tripmill.plans import medallion
 from tripmill.session import plain_times, work_dir
 from tripmill.sources import files, tables
+from tripmill.sources.keyed import KeyedTable
 from tripmill.streaming import events as stream_events
 from tripmill.streaming import lifecycle as stream_lifecycle
 from tripmill.streaming import metrics as stream_metrics
@@ -37,6 +39,7 @@ SUMMARY_DAYS = 30
 RETENTION_DAYS = 730
 CHANGE_CUT = "1998-01-01"
 BUCKETS = 8
+STREAM_FILES = 4
 PII_SALT = "pepper"
 
 
@@ -403,8 +406,11 @@ def rides_in_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rides_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides in a table split by status, of which one folder is read."""
     rides = lifecycle.with_status_flags(lifecycle.rides_current(bind.silver(spark, sf_dir)))
-    return state.find(rides, "status", "in_progress").select(
+    path = work_dir(spark, "rides")
+    rides.hint("rebalance", F.col("status")).write.partitionBy("status").parquet(path)
+    return state.find(spark.read.parquet(path), "status", "in_progress").select(
         "ride_id", "status", "is_active", "is_terminal", "estimated_distance_km"
     )
 
@@ -412,6 +418,12 @@ def rides_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATE_COLUMNS = ("ride_id", "status", "driver_id", "distance_km", "fare_cents", "completed_at")
 
 
+def _ride_states(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, DataFrame]:
+    rides = lifecycle.rides_current(bind.silver(spark, sf_dir)).select(*STATE_COLUMNS)
+    split = KeyedTable.hashed("ride_id", BUCKETS)
+    return KeyedTable(spark, work_dir(spark, "rides"), "ride_id", rides.schema, split), rides
+
+
 @query
 def ride_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States as of a date, then the states of all rides with later events put over them."""
@@ -420,27 +432,39 @@ def ride_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = lifecycle.rides_current(events.filter(F.col("event_timestamp") < cut))
     later = events.filter(F.col("event_timestamp") >= cut).select("ride_id")
     after = lifecycle.rides_current(state.find_many(events, "ride_id", later))
-    path = work_dir(spark, "rides")
-    tables.create_keyed(before.select(*STATE_COLUMNS), path, "ride_id", BUCKETS)
-    tables.save_latest(after.select(*STATE_COLUMNS), path, "ride_id", ["ride_id"], BUCKETS)
-    return tables.read_keyed(spark, path, "ride_id").select(*STATE_COLUMNS)
+    table, _ = _ride_states(spark, sf_dir)
+    table.put(before)
+    table.put(after)
+    return table.read()
 
 
 @query
 def ride_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = lifecycle.rides_current(bind.silver(spark, sf_dir)).select(*STATE_COLUMNS)
-    path = work_dir(spark, "rides")
-    tables.create_keyed(rides, path, "ride_id", BUCKETS)
-    stored = tables.read_keyed(spark, path, "ride_id")
-    tables.delete_keys(state.find(stored, "status", "cancelled"), path, "ride_id", BUCKETS)
-    return tables.read_keyed(spark, path, "ride_id").select(*STATE_COLUMNS)
+    table, rides = _ride_states(spark, sf_dir)
+    table.put(rides)
+    table.delete(state.find(table.read(), "status", "cancelled"))
+    table.compact()
+    return table.read()
+
+
+@query
+def ride_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ride with the greatest id, looked up by its id after two puts."""
+    table, rides = _ride_states(spark, sf_dir)
+    table.put(rides.withColumn("status", F.lit("stale")))
+    table.put(rides)
+    wanted = table.read().agg(F.max("ride_id")).first()[0]
+    return table.find(wanted)
 
 
 @query
 def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full histories of the rides that cannot be replayed."""
-    log = bind.bronze(spark, sf_dir).select(*schemas.ENVELOPE, "rider_id", "driver_id", "fare_cents")
-    return history.event_history(log, rides=lifecycle.rides_in_error(bind.silver(spark, sf_dir)))
+    """Full histories of the rides that cannot be replayed, from a log that is stored once."""
+    path = work_dir(spark, "bronze")
+    bind.bronze(spark, sf_dir).write.parquet(path)
+    log = spark.read.parquet(path)
+    wanted = lifecycle.rides_in_error(silver.to_silver(log, keep=bind.TRIP_FIELDS))
+    return history.event_history(log.select(*schemas.ENVELOPE, "rider_id", "driver_id", "fare_cents"), rides=wanted)
 
 
 # Quality
@@ -541,6 +565,61 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("event_id", "ride_id", "event_type", "event_date")
 
 
+def _marked_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with rows that no layer can take."""
+    k = F.col("ride_id").cast("bigint")
+    return bind.bronze(spark, sf_dir).withColumns(
+        {
+            "event_id": F.when(k % 7 != 0, F.col("event_id")),
+            "event_type": F.when(k % 13 == 0, "ride_teleported").otherwise(F.col("event_type")),
+            "timestamp": F.when(k % 11 == 0, "soon").otherwise(F.col("timestamp")),
+        }
+    )
+
+
+@query
+def layer_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers built from the whole log and then from its earlier part: nothing of the first build is left."""
+    base = work_dir(spark, "layers")
+    log = bind.bronze(spark, sf_dir)
+    medallion.build(spark, log, base, "month")
+    built = medallion.build(spark, log.filter(F.col("timestamp") < CHANGE_CUT), base, "month")
+    day = F.to_date("event_timestamp").alias("event_date")
+    return built["stg_rides"].groupBy(day, "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def build_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a build sets aside, with reasons."""
+    built = medallion.build(spark, _marked_bronze(spark, sf_dir), work_dir(spark, "layers"), "month")
+    return built["rejects"].select("event_id", "ride_id", "event_type", "_error")
+
+
+def _dated_silver(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    rows = bind.silver(spark, sf_dir).select("event_id", "ride_id", "event_type", "event_timestamp")
+    path = work_dir(spark, "silver")
+    rows = rows.withColumn("event_month", F.trunc("event_timestamp", "month"))
+    files.write_partitioned(rows, path, "event_month")
+    return path, rows
+
+
+@query
+def layer_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored layer after its folders past retention are removed."""
+    path, _ = _dated_silver(spark, sf_dir)
+    tables.expire_folders(spark, path, "event_month", date.fromisoformat(AS_OF), RETENTION_DAYS)
+    return spark.read.parquet(path).groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated folders that are there already, declared as a table and registered as its partitions."""
+    path, rows = _dated_silver(spark, sf_dir)
+    name = f"silver_{uuid.uuid4().hex}"
+    found = tables.register_folder(spark, name, path, rows.schema, ["event_month"])
+    return found.groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
+
+
 BY_TYPE_SQL = """
     SELECT event_type, count(*) AS events, sum(fare_cents) AS total_cents
     FROM {table} WHERE fare_cents >= :least GROUP BY event_type
@@ -583,9 +662,9 @@ def window_5min_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_metrics.window_metrics(silver.derive_units(typed))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     schema = bind.table(spark, sf_dir, "events").schema
-    return files.stream_files(spark, sf_dir, schema, pattern="events.parquet")
+    return files.stream_table(spark, f"{sf_dir}/events.parquet", schema, max_files)
 
 
 @query
@@ -594,13 +673,9 @@ def window_5min_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = bind.ride_messages(_event_stream(spark, sf_dir))
     valid = ingest.valid_rows(stream_events.checked_messages(messages))
     typed = silver.derive_units(silver.type_events(valid, keep=("surge_multiplier",)))
-    path = work_dir(spark, "windows")
-    stream_events.run_available(
-        stream_metrics.write_windows(
-            stream_metrics.window_metrics(typed), path, work_dir(spark, "offsets")
-        )
-    )
-    return stream_metrics.read_windows(spark, path)
+    path, metrics = work_dir(spark, "windows"), stream_metrics.window_metrics(typed)
+    stream_events.run_available(stream_metrics.write_windows(metrics, path, work_dir(spark, "offsets")))
+    return stream_metrics.read_windows(spark, path, metrics.schema)
 
 
 @query
@@ -639,20 +714,26 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that the landing stream rejects, read back with their reasons."""
+    path = work_dir(spark, "rejects")
+    stream = bind.ride_messages(_event_stream(spark, sf_dir))
+    stream_events.run_available(stream_events.land_rejected(stream, path, work_dir(spark, "offsets")))
+    kept = "event_id string, ride_id string, raw_text string, _error string"
+    return spark.read.schema(kept).json(path)
+
+
 @query
 def stream_rides_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver events as a stream of files, replayed into a table of rides."""
+    """Silver events as a stream of several files, one per micro-batch, kept as a table of rides."""
     source = work_dir(spark, "silver")
     events = bind.silver(spark, sf_dir)
-    events.write.parquet(source)
-    rides = stream_lifecycle.ride_states(files.stream_files(spark, source, events.schema))
-    path = work_dir(spark, "rides")
-    tables.create_keyed(spark.createDataFrame([], rides.schema), path, "ride_id", BUCKETS)
-    stream_events.run_available(
-        stream_lifecycle.write_ride_states(rides, path, work_dir(spark, "offsets"), BUCKETS)
-    )
-    stored = tables.read_keyed(spark, path, "ride_id")
-    return stored.filter(F.col("error").isNull()).drop("error", tables.BUCKET)
+    events.repartition(STREAM_FILES, "event_id").write.parquet(source)
+    stream = files.stream_files(spark, source, events.schema, max_files=1)
+    table = stream_lifecycle.ride_table(spark, work_dir(spark, "rides"), events.schema, BUCKETS)
+    stream_events.run_available(stream_lifecycle.write_rides(stream, table, work_dir(spark, "offsets")))
+    return stream_lifecycle.read_rides(table).filter(F.col("error").isNull()).drop("error")
 
 
 @query

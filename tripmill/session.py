@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +36,13 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared checkpoint folder of the cluster.
+    """A new folder under the shared checkpoint folder, by one rule for every master.
 
-    A local session without that setting gets a temporary folder; on a cluster a folder of one
-    machine would be lost with it, so there the setting is required.
+    Without spark.checkpoint.dir it lies under the warehouse, which all executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="tripmill-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

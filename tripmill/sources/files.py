@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tripmill.schemas import BRONZE, CORRUPT
+from tripmill.sources.keyed import is_folder
 
 LANDING_TRIGGER = "300 seconds"
 
@@ -52,6 +53,16 @@ def stream_files(
     return reader.load(path)
 
 
+def stream_table(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """A stream of a Parquet table that is one file or a folder of part files."""
+    if is_folder(spark, path):
+        return stream_files(spark, path, schema, max_files=max_files)
+    parent, name = path.rsplit("/", 1)
+    return stream_files(spark, parent, schema, pattern=name, max_files=max_files)
+
+
 def land(
     stream: DataFrame, path: str, checkpoint: str, max_records_per_file: int = 1_000_000
 ) -> DataStreamWriter:

@@ -1,0 +1,166 @@
+"""Keyed tables on files: numbered deltas that are merged when read, and compaction.
+
+A put writes one folder, `delta=<number>`, and touches no other file. A folder counts once Spark has
+committed it, so a put that stops half way changes nothing, and repeating it under its number replaces
+only its own folder. Readers merge all folders that count; compaction writes their merged state as
+one folder and removes the folders that an earlier compaction has replaced. One writer at a time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SPLIT, DELTA, DELETED = "_split", "_delta", "_deleted"
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, path)
+    return files.exists(where) and files.getFileStatus(where).isDirectory()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    files, where = _folder(spark, path)
+    files.delete(where, True)
+
+
+def committed(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the folders `_delta=<number>` below a path that were written to the end."""
+    files, where = _folder(spark, path)
+    if not files.exists(where):
+        return []
+    found = []
+    for status in files.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith(f"{DELTA}=") and is_done(spark, f"{path}/{name}"):
+            found.append(int(name.split("=")[1]))
+    return sorted(found)
+
+
+def is_done(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(where)
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Commit a folder that several writes filled."""
+    files, where = _folder(spark, f"{path}/_SUCCESS")
+    files.create(where, True).close()
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """Rows by key in a folder.
+
+    `split` is an SQL expression of the key that names the folder a row lies in below each delta;
+    lookups of one key read only its folder. `merge` makes one row per key of the rows of several puts;
+    without it the row of the last put wins.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+    schema: T.StructType
+    split: str
+    merge: Callable[[DataFrame], DataFrame] | None = None
+
+    @staticmethod
+    def hashed(key: str, buckets: int) -> str:
+        return f"pmod(xxhash64(`{key}`), {buckets})"
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        out = rows.withColumn(SPLIT, F.expr(self.split).cast("string"))
+        (
+            out.hint("rebalance", F.col(SPLIT))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(SPLIT)
+            .parquet(path)
+        )
+
+    def _put(self, rows: DataFrame, number: int | None) -> None:
+        if number is None:
+            number = self.last() + 1
+        self._write(rows, f"{self.path}/{DELTA}={number}")
+
+    def last(self) -> int:
+        """Number of the last put, -1 before the first."""
+        found = committed(self.spark, self.path) + committed(self.spark, f"{self.path}/compacted")
+        return max(found, default=-1)
+
+    def put(self, rows: DataFrame, number: int | None = None) -> None:
+        """Add rows, one per key. A stream passes its batch id as number, so that a repeat changes nothing."""
+        rows = rows.select(*self.schema.names)
+        self._put(rows.withColumn(DELETED, F.lit(False)), number)
+
+    def delete(self, keys: DataFrame, number: int | None = None) -> None:
+        """Remove rows by key, by a put of rows that mark the keys."""
+        gone = keys.select(self.key).distinct()
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != self.key]
+        self._put(gone.select(self.key, *empty).select(*self.schema.names, F.lit(True).alias(DELETED)), number)
+
+    def _versions(self) -> DataFrame | None:
+        bases = committed(self.spark, f"{self.path}/compacted")
+        deltas = [n for n in committed(self.spark, self.path) if not bases or n > bases[-1]]
+        stored = T.StructType(
+            [
+                *self.schema.fields,
+                T.StructField(DELETED, T.BooleanType()),
+                T.StructField(DELTA, T.LongType()),
+                T.StructField(SPLIT, T.StringType()),
+            ]
+        )
+
+        def read(base: str, numbers: list[int]) -> DataFrame:
+            return self.spark.read.schema(stored).option("basePath", base).parquet(*[f"{base}/{DELTA}={n}" for n in numbers])
+
+        parts = [read(f"{self.path}/compacted", bases[-1:])] if bases else []
+        parts += [read(self.path, deltas)] if deltas else []
+        if not parts:
+            return None
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _merged(self, where: Column | None = None) -> DataFrame:
+        rows = self._versions()
+        if rows is None:
+            return self.spark.createDataFrame([], self.schema)
+        if where is not None:
+            rows = rows.filter(where)
+        names = self.schema.names
+        if self.merge:
+            return self.merge(rows.select(*names)).select(*names)
+        last = F.max_by(F.struct(*[n for n in names if n != self.key], DELETED), DELTA).alias("_last")
+        merged = rows.groupBy(self.key).agg(last).select(self.key, "_last.*")
+        return merged.filter(~F.col(DELETED)).select(*names)
+
+    def read(self) -> DataFrame:
+        """One row per key."""
+        return self._merged()
+
+    def find(self, value: object) -> DataFrame:
+        """The row of one key, from the folders that the key lies in."""
+        split = self.spark.range(1).select(F.lit(value).alias(self.key)).select(F.expr(self.split).cast("string")).first()[0]
+        return self._merged((F.col(SPLIT) == split) & (F.col(self.key) == value))
+
+    def compact(self) -> None:
+        """Write the merged state as one folder. Readers of the folders it replaces may go on until the next one."""
+        bases = committed(self.spark, f"{self.path}/compacted")
+        last = self.last()
+        if last < 0 or bases[-1:] == [last]:
+            return
+        self._write(self.read().withColumn(DELETED, F.lit(False)), f"{self.path}/compacted/{DELTA}={last}")
+        for n in bases[:-1]:
+            remove(self.spark, f"{self.path}/compacted/{DELTA}={n}")
+        for n in committed(self.spark, self.path):
+            if bases and n <= bases[-1]:
+                remove(self.spark, f"{self.path}/{DELTA}={n}")

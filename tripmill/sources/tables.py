@@ -1,17 +1,13 @@
-"""Catalog tables, views, materialised models, keyed tables on files, and retention."""
+"""Catalog tables, views, materialised models, partition registration and retention."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripmill.operators.state import delete, upsert_latest
-
-BUCKET = "bucket"
+from tripmill.sources.keyed import _folder, remove
 
 
 def register_external(
@@ -24,6 +20,16 @@ def register_external(
     return spark.table(table)
 
 
+def register_folder(spark: SparkSession, table: str, path: str, schema, partitions: list[str], fmt: str = "parquet") -> DataFrame:
+    """Declare a table over dated folders that are there already, and register the folders as partitions."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING {fmt} PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    return spark.table(table)
+
+
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
@@ -42,57 +48,6 @@ def refresh_model(df: DataFrame, table: str, path: str | None = None) -> DataFra
     return df.sparkSession.table(table)
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def _overwrite_buckets(rows: DataFrame, path: str) -> None:
-    (
-        rows.hint("rebalance", F.col(BUCKET))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
-
-
-def read_keyed(spark: SparkSession, path: str, key: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of a keyed table without the markers that keep emptied buckets in place."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).filter(F.col(key).isNotNull())
-
-
-def create_keyed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
-    """A table on files that is split by key, so that a change rewrites only some of it."""
-    keyed = with_bucket(rows, key, buckets)
-    keyed.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(path)
-
-
-def save_latest(
-    updates: DataFrame, path: str, key: str, order: Sequence[Column | str], buckets: int
-) -> None:
-    """Put rows into a keyed table: the last write per key wins. Rewrites only the buckets touched."""
-    spark = updates.sparkSession
-    new = with_bucket(updates, key, buckets)
-    touched = new.select(BUCKET).distinct()
-    stored = read_keyed(spark, path, key, new.schema).join(F.broadcast(touched), BUCKET, "left_semi")
-    _overwrite_buckets(upsert_latest(stored, new, key, order), path)
-
-
-def delete_keys(keys: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Remove rows by key; rewrites only the buckets touched.
-
-    A bucket without rows would not be rewritten and so keep its old rows, hence each touched bucket
-    gets a marker row without a key.
-    """
-    spark = keys.sparkSession
-    unwanted = with_bucket(keys.select(key).distinct(), key, buckets)
-    touched = unwanted.select(BUCKET).distinct()
-    stored = read_keyed(spark, path, key).join(F.broadcast(touched), BUCKET, "left_semi")
-    left = delete(stored, key, unwanted)
-    _overwrite_buckets(left.unionByName(touched, allowMissingColumns=True), path)
-
-
 def keep_recent(df: DataFrame, day: str, as_of: Column, days: int) -> DataFrame:
     """Rows that are not older than the retention period."""
     return df.filter(F.col(day) >= F.date_sub(as_of, days))
@@ -109,3 +64,14 @@ def expire_partitions(spark: SparkSession, table: str, day: str, as_of: date, da
     for value in old:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day}='{value}')")
     return old
+
+
+def expire_folders(spark: SparkSession, path: str, day: str, as_of: date, days: int) -> list[str]:
+    """Remove the folders `<day>=<date>` of a table on files that are past retention; returns their dates."""
+    cutoff = (as_of - timedelta(days=days)).isoformat()
+    files, where = _folder(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(where)]
+    old = sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day}=") and n.split("=", 1)[1] < cutoff)
+    for value in old:
+        remove(spark, f"{path}/{day}={value}")
+    return old

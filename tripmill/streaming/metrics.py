@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tripmill.functions.numeric import half_up
-from tripmill.operators.silver import first_occurrence
 from tripmill.schemas import COMPLETED
+from tripmill.sources.keyed import KeyedTable
 
 WINDOW = "5 minutes"
 WATERMARK = "10 minutes"
+COMPACT_EVERY = 32
 
 
 def window_metrics(
@@ -55,41 +57,22 @@ def as_messages(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def _put_windows(batch: DataFrame, path: str) -> None:
-    """Replace the windows of one micro-batch in a table split by day; repeating it changes nothing."""
-    spark = batch.sparkSession
-    rows = batch.withColumn("window_date", F.to_date("window_start")).withColumn("_new", F.lit(1))
-    days = rows.select("window_date").distinct()
-    stored = (
-        spark.read.schema(rows.drop("_new").schema)
-        .parquet(path)
-        .join(days, "window_date", "left_semi")
-        .withColumn("_new", F.lit(0))
-    )
-    merged = first_occurrence(
-        stored.unionByName(rows), ["window_start"], [F.col("_new").desc()]
-    ).drop("_new")
-    (
-        merged.hint("rebalance", F.col("window_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
-        .parquet(path)
-    )
+def window_table(spark: SparkSession, path: str, metrics: T.StructType) -> KeyedTable:
+    """A table of windows, split by day."""
+    return KeyedTable(spark, path, "window_start", metrics, "to_date(window_start)")
 
 
-def write_windows(metrics: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Update mode into a table: each trigger re-emits changed windows, the table keeps the latest."""
-    spark = metrics.sparkSession
-    empty = spark.createDataFrame([], metrics.schema).withColumn(
-        "window_date", F.to_date("window_start")
-    )
-    empty.write.mode("append").partitionBy("window_date").parquet(path)
+def write_windows(metrics: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY) -> DataStreamWriter:
+    """Update mode into a table: each trigger re-emits changed windows, the table keeps the latest.
+
+    A micro-batch writes only its own windows, under its number, so repeating it changes nothing.
+    """
+    table = window_table(metrics.sparkSession, path, metrics.schema)
 
-    def put(batch: DataFrame, _: int) -> None:
-        held = batch.persist()
-        _put_windows(held, path)
-        held.unpersist()
+    def put(batch: DataFrame, number: int) -> None:
+        table.put(batch, number)
+        if number % compact_every == compact_every - 1:
+            table.compact()
 
     return (
         metrics.writeStream.outputMode("update")
@@ -98,8 +81,8 @@ def write_windows(metrics: DataFrame, path: str, checkpoint: str) -> DataStreamW
     )
 
 
-def read_windows(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("window_date")
+def read_windows(spark: SparkSession, path: str, metrics: T.StructType) -> DataFrame:
+    return window_table(spark, path, metrics).read()
 
 
 def write_final_windows(metrics: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
