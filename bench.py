@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -26,7 +27,8 @@ HEADLINE = (
     "dim_driver_scd2", "scd2_lookup", "fact_rides_star", "flatten_payload", "event_id_check",
     "fare_audit_service", "distance_audit", "surge_by_cell", "lifecycle_violations",
     "rides_current", "dq_summary", "reconcile", "window_5min_metrics", "window_5min_stream",
-    "stream_dedup",
+    "stream_dedup", "stream_rides_current", "landing", "ride_state_upsert", "ride_delete", "event_history",
+    "id_difference", "unseen_events",
 )
 
 
@@ -42,6 +44,8 @@ def main() -> None:
             # Small tables on one machine: keep enough partitions for every thread.
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
             "spark.ui.enabled": "false",
+            # A folder of its own for what queries store; a cluster names a shared one.
+            "spark.checkpoint.dir": os.environ.get("BENCH_WORK_DIR", tempfile.mkdtemp(prefix="bench-")),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
         },
     )

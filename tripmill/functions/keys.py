@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNKNOWN_KEY = -1
+UNKNOWN_KEY = "-1"
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """A stable 60-bit key of the business key: the same on every run and every executor."""
+    """A stable 128-bit key of the business key, as 32 hex digits: the same on every run and executor."""
     text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("\\N")) for p in parts])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+    return F.substring(F.sha2(text, 256), 1, 32)
 
 
 def hashed(text: Column, salt: str) -> Column:

@@ -140,12 +140,24 @@ def dim_time(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def dim_location(df: DataFrame, lat: str, lon: str, cells_per_degree: int = 100) -> DataFrame:
-    """Every grid cell that has points, with the number of points."""
-    return (
-        df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .groupBy(grid_cell(F.col(lat), F.col(lon), cells_per_degree).alias("location_id"))
-        .agg(F.count(F.lit(1)).alias("points"))
+def dim_location(df: DataFrame, cells_per_degree: int = 100) -> DataFrame:
+    """Every grid cell in which a ride starts or ends, with its centre and the number of each."""
+    ends = F.array(
+        *[
+            F.struct(F.col(f"{end}_lat").alias("lat"), F.col(f"{end}_lon").alias("lon"), F.lit(end).alias("end"))
+            for end in ("pickup", "dropoff")
+        ]
+    )
+    points = df.select(F.explode(ends).alias("p")).select("p.*").filter("lat IS NOT NULL AND lon IS NOT NULL")
+
+    def centre(degrees: str, low: int) -> Column:
+        return (F.floor((F.col(degrees) + low) * cells_per_degree) + F.lit(0.5)) / cells_per_degree - low
+
+    return points.groupBy(grid_cell(F.col("lat"), F.col("lon"), cells_per_degree).alias("location_id")).agg(
+        F.min(centre("lat", 90)).alias("centre_lat"),
+        F.min(centre("lon", 180)).alias("centre_lon"),
+        F.count_if(F.col("end") == "pickup").alias("pickups"),
+        F.count_if(F.col("end") == "dropoff").alias("dropoffs"),
     )
 
 

@@ -34,7 +34,7 @@ def cents(x: str) -> str:
 
 
 def short_key(text: str) -> str:
-    return f"CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT)"
+    return f"substr(sha256({text}), 1, 32)"
 
 
 RIDES = """
@@ -556,12 +556,18 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT CAST(strftime(event_timestamp, '%H%M') AS INTEGER) AS time_id,
             CAST(hour(event_timestamp) AS INTEGER) AS hour,
             CAST(minute(event_timestamp) AS INTEGER) AS minute FROM silver""",
-    "dim_location": f"""WITH {RIDES}
-        SELECT {cell("pickup_lat", "pickup_lon", 100)} AS location_id, count(*) AS points
-        FROM rides GROUP BY ALL""",
+    "dim_location": f"""WITH {RIDES},
+        ends AS (
+            SELECT pickup_lat AS lat, pickup_lon AS lon, 'p' AS side FROM rides
+            UNION ALL SELECT dropoff_lat, dropoff_lon, 'd' FROM rides)
+        SELECT {cell("lat", "lon", 100)} AS location_id,
+            min((floor((lat + 90) * 100) + 0.5::DOUBLE) / 100 - 90) AS centre_lat,
+            min((floor((lon + 180) * 100) + 0.5::DOUBLE) / 100 - 180) AS centre_lon,
+            count(*) FILTER (side = 'p') AS pickups, count(*) FILTER (side = 'd') AS dropoffs
+        FROM ends WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1""",
     "fact_rides_star": f"""WITH {OUTCOMES}, {CHANGES}
-        SELECT o.ride_id, coalesce(r.rider_key, -1) AS rider_key,
-            coalesce(v.driver_key, -1) AS driver_key,
+        SELECT o.ride_id, coalesce(r.rider_key, '-1') AS rider_key,
+            coalesce(v.driver_key, '-1') AS driver_key,
             CAST(strftime(started_at, '%Y%m%d') AS INTEGER) AS date_id,
             CAST(strftime(started_at, '%H%M') AS INTEGER) AS start_time_id,
             {cell("b.pickup_lat", "b.pickup_lon", 100)} AS pickup_location_id,

@@ -259,7 +259,7 @@ def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_location(bind.rides(spark, sf_dir), "pickup_lat", "pickup_lon")
+    return dims.dim_location(bind.rides(spark, sf_dir))
 
 
 @query
