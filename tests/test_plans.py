@@ -106,9 +106,9 @@ def test_id_difference_shuffles_once(spark):
 def test_a_second_build_equals_a_fresh_one(spark, sf_dir, tmp_path):
     log = bindings.bronze(spark, sf_dir)
     early = log.filter(F.col("timestamp") < "1996-01-01")
-    medallion.build(spark, log, f"{tmp_path}/a")
-    again = medallion.build(spark, early, f"{tmp_path}/a")
-    fresh = medallion.build(spark, early, f"{tmp_path}/b")
+    medallion.build(spark, log, f"{tmp_path}/a", "month")
+    again = medallion.build(spark, early, f"{tmp_path}/a", "month")
+    fresh = medallion.build(spark, early, f"{tmp_path}/b", "month")
     for name, df in fresh.items():
         mine, theirs = (x.drop("_loaded_at", "_dlq_timestamp") for x in (again[name], df))
         assert mine.exceptAll(theirs).count() == theirs.exceptAll(mine).count() == 0, name
@@ -116,14 +116,14 @@ def test_a_second_build_equals_a_fresh_one(spark, sf_dir, tmp_path):
 
 def test_a_build_that_stops_leaves_the_last_one_in_force(spark, sf_dir, tmp_path, monkeypatch):
     base = str(tmp_path)
-    rides = medallion.build(spark, bindings.bronze(spark, sf_dir), base)["stg_rides"].count()
+    rides = medallion.build(spark, bindings.bronze(spark, sf_dir), base, "month")["stg_rides"].count()
 
     def stop(*_):
         raise RuntimeError("stopped")
 
     monkeypatch.setitem(medallion.GOLD_MODELS, "driver_metrics", stop)
     with pytest.raises(RuntimeError):
-        medallion.build(spark, bindings.bronze(spark, sf_dir).limit(10), base)
+        medallion.build(spark, bindings.bronze(spark, sf_dir).limit(10), base, "month")
     assert medallion.read_layers(spark, base)["stg_rides"].count() == rides
 
 
@@ -139,6 +139,19 @@ def test_nothing_of_bronze_is_lost_in_a_build(spark, tmp_path):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_path}/in")
     built = medallion.build(spark, read_ndjson(spark, f"{tmp_path}/in"), f"{tmp_path}/out")
     assert [r.event_id for r in built["stg_rides"].collect()] == ["1"]
-    assert sorted(r._error for r in built["rejects"].collect()) == ["bad_timestamp", "malformed;missing_event_id;missing_ride_id;missing_event_type;missing_timestamp", "missing_ride_id"] or sorted(
-        r._error for r in built["rejects"].collect()
-    ) == ["bad_timestamp", "malformed", "missing_ride_id"]
+    reasons = sorted(r._error.split(";")[0] for r in built["rejects"].collect())
+    assert reasons == ["bad_timestamp", "malformed", "missing_ride_id"]
+
+
+def test_versions_are_met_by_month(spark):
+    from tripmill.operators import dims
+
+    day = "2024-01-01 00:00:00"
+    facts = spark.createDataFrame([(i, "d", day) for i in range(5)], "ride_id int, driver_id string, at string").withColumn("at", F.to_date("at"))
+    log = spark.createDataFrame([("d", f"20{y:02d}-01-01", y) for y in range(10, 40)], "driver_id string, day string, v int")
+    dim = log.select("driver_id", F.to_date("day").alias("effective_date"), F.add_months(F.to_date("day"), 12).alias("end_date"), "v")
+    found = dims.scd2_lookup(facts, dim, "driver_id", "at", "ride_id", ["v"])
+    assert {r.v for r in found.collect()} == {24}
+    text = plan(found)
+    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[[^\]]*_month", text)
+    assert joins

@@ -85,17 +85,24 @@ def scd2_lookup(
 ) -> DataFrame:
     """The version valid on the date of each fact; facts before the first version get NULLs.
 
-    The facts are read a second time, for their key alone, unless the frequent keys are given.
+    Versions are listed under each month they cover and facts meet those of their month only, so a key
+    with very many versions does not meet all of them for each fact. The facts are read again for the
+    last date and, unless the frequent keys are given, for their key.
     """
+    day, start, stop = F.col(on_date), F.col("_from"), F.col("_to")
+    last_day = facts.agg(F.to_date(F.max(on_date)).alias("_last")).scalar()
     versions = dim.select(
-        key, F.col("effective_date").alias("_from"), F.col("end_date").alias("_to"), *take
+        key, F.to_date("effective_date").alias("_from"), F.to_date("end_date").alias("_to"), *take
     )
-    day = F.col(on_date)
-    inside = (F.col("_from") <= day) & (F.col("_to").isNull() | (day < F.col("_to")))
+    last = F.greatest(start, F.coalesce(F.date_sub(stop, 1), last_day, start))
+    months = F.sequence(F.trunc(start, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    by_month = versions.withColumn("_version_month", F.explode(months))
+    inside = (start <= day) & (stop.isNull() | (day < stop)) & (F.col("_month") == F.col("_version_month"))
     frequent = frequent_keys(facts, key) if frequent is None else frequent
     return lookup_join(
-        facts, versions, key, spread_by=[spread_by], frequent=frequent, condition=inside
-    ).drop("_from", "_to")
+        facts.withColumn("_month", F.trunc(day, "month")), by_month, key,
+        spread_by=[spread_by], frequent=frequent, condition=inside,
+    ).drop("_from", "_to", "_month", "_version_month")
 
 
 def dim_driver(log: DataFrame, key: str, ts: str, attributes: list[str], tie: str) -> DataFrame:
