@@ -75,6 +75,33 @@ def test_templates_are_classes_of_equal_vectors(spark):
     assert row["classes"] == 4
 
 
+def tagless(n, body, top=lambda i: ("Home", "About us")):
+    """Pages of one host with the given bodies in a menu and an end that are the same everywhere."""
+    menu = lambda i: "".join(f"<p>{t}</p>" for t in top(i))
+    return [
+        (i, f"http://h/{i}", f"<body><div class=top>{menu(i)}</div><div class=wrap>{body(i)}</div><div class=end><p>All rights</p></div></body>", None, None)
+        for i in range(n)
+    ]
+
+
+def texts_of(spark, rows):
+    return {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+def test_a_class_of_texts_only_is_no_template(spark):
+    note = lambda i: "Corrected since it came out." * (i % 2 == 0)
+    got = texts_of(spark, tagless(20, lambda i: f"<div class=content><p>Story {i} begins here.</p><p>{note(i)}</p></div>"))
+    assert got == {i: f"Story {i} begins here." + ("\n" + note(i)) * (i % 2 == 0) for i in range(20)}
+
+
+def test_texts_of_a_class_keep_their_order(spark):
+    from pyspark.sql import functions as F
+
+    rows = tagless(20, lambda i: f"<p>Story {i} begins here.</p>", lambda i: ("Home", "About us")[:: 1 if i % 2 else -1])
+    (row,) = html.templates(spark.createDataFrame(rows, PAGES).select(F.lit("h").alias("host"), F.col("page_id").alias("page"), "html")).collect()
+    assert row["texts"] == [html.token("text", "body/div.end/p", "All rights")]
+
+
 def test_repeated_article_text_stays(spark):
     rows = [(i, "http://h/", "<article><p>same text</p></article>", None, None) for i in range(20)]
     assert {r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"same text"}

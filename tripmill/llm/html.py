@@ -2,15 +2,18 @@
 
 A page is cut into blocks of text, each with its path of elements. Tokens of a page are its element paths
 and its texts at their paths. In Spark every token of a host gets its occurrence vector, how often each
-page has it, as a hash that tasks combine before the shuffle. Tokens with equal vectors form an
-equivalence class; classes on enough pages are valid and make up the template. Classes nest by the paths
-of their tokens. What is left are slots: text that varies between pages.
-
-A block belongs to the article if it lies in a slot of the article. Elements that say what they are decide
-first: menus, footers, forms, adverts, comments and the like are out, wherever they lie, and an `article` or
-`main` element is the article. On pages without one, it is the container of the template whose slots hold
-the most varying text on that host, and texts that are tokens of the template are left out. Hosts with few
-pages have no template, and there the container with the most text on the page counts.
+page has it, as a hash over pages. Tokens with equal vectors form an
+equivalence class. A class on enough pages is valid if it holds an element path, on which its texts hang, so
+that texts which only repeat are no template; in a second pass over the pages its texts are held to their
+order, and one that changes places within its class is no template. What is left are slots: text that varies
+between pages. Slots nest by the paths of their elements: text counts for its element and all around it.
+
+The article is the innermost element of the template that holds nearly all (MAIN_SHARE) of the varying text of
+its pages, with all slots in it. Elements whose names or classes say that they are menus, footers, forms,
+adverts, comments and the like are left out before, wherever they lie. Hosts with few pages have no template;
+there, and on pages without that element, it is chosen by the text of the page alone.
+
+Tag names come last, as a check: a page with an `article` or `main` element has all text of that, and only that.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from tripmill.llm.common import stored, without
 MIN_PAGES = 5
 #: A class is valid if its tokens occur on this share of a host's pages.
 SHARE = 0.3
+#: The article's element holds this share of the varying text of the pages it is on.
+MAIN_SHARE = 0.8
 #: Templates of more hosts than this are joined with a shuffle, those of fewer are broadcast.
 BROADCAST_HOSTS = 2_000
 #: Tokens that a broadcast template may hold in all.
@@ -213,22 +218,38 @@ def prefixes(path: str) -> list[str]:
     return ["/".join(labels[: i + 1]) for i in range(len(labels))]
 
 
+def weights(blocks: list[Block]) -> Counter:
+    """Length of the text in each element path, with all that lies below it."""
+    sizes: Counter = Counter()
+    for b in blocks:
+        for p in prefixes(b.container):
+            sizes[p] += len(b.text)
+    return sizes
+
+
+def slots_of(blocks: list[Block], template_texts: set[int], main: int | None) -> list[Block]:
+    """Blocks in the slots of the main element; on a page without it, in the element of most text there."""
+    varying = [b for b in blocks if token("text", b.path, b.text) not in template_texts]
+    inside = [b for b in varying if main is not None and any(token("path", p) == main for p in prefixes(b.container))]
+    if not inside and varying:
+        sizes = weights(varying)
+        whole = sum(len(b.text) for b in varying)
+        held = [p for p in sizes if sizes[p] >= MAIN_SHARE * whole]
+        if not held:
+            return varying
+        best = max(held, key=lambda p: (p.count("/"), sizes[p], p))
+        inside = [b for b in varying if best in prefixes(b.container)]
+    return inside
+
+
 def main_text(html: str | None, template_texts: set[int], main: int | None) -> str:
     blocks = [b for b in blocks_of(html) if not b.noise]
-    inside = [b for b in blocks if b.article]
-    if not inside:
-        varying = [b for b in blocks if token("text", b.path, b.text) not in template_texts]
-        inside = [b for b in varying if main is not None and any(token("path", p) == main for p in prefixes(b.container))]
-        if not inside and varying:
-            sizes = Counter()
-            for b in varying:
-                sizes[b.container] += len(b.text)
-            best = max(sizes, key=lambda c: (sizes[c], c))
-            inside = [b for b in varying if b.container == best or b.container.startswith(best + "/")]
-    return "\n".join(b.text for b in inside)
+    found = slots_of(blocks, template_texts, main)
+    # The check by tag names comes last: a page that marks its article has all of that, and nothing else.
+    return "\n".join(b.text for b in [b for b in blocks if b.article] or found)
 
 
-TOKENS = "host string, token long, is_text boolean, container long, sign long, chars long"
+TOKENS = "host string, token long, is_text boolean, sign long"
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
@@ -240,55 +261,115 @@ def page_tokens(pages: DataFrame) -> DataFrame:
             for host, page, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 blocks = [b for b in blocks_of(html) if not b.noise]
                 counts: Counter = Counter()
-                chars: Counter = Counter()
                 for b in blocks:
-                    key = (token("text", b.path, b.text), True, token("path", b.container))
-                    counts[key] += 1
-                    chars[key] += len(b.text)
+                    counts[token("text", b.path, b.text), True] += 1
                     for p in prefixes(b.container):
-                        counts[token("path", p), False, None] += 1
-                counts[0, False, None] = 1  # the page itself
+                        counts[token("path", p), False] += 1
+                        counts[token("here", p), False] = 1
+                counts[0, False] = 1  # the page itself
                 for key, n in counts.items():
-                    sign = xxhash.xxh64_intdigest(f"{page} {n}") - (1 << 63)
-                    rows.append((host, *key, sign, chars[key]))
-            columns = list(zip(*rows)) or [[] for _ in range(6)]
-            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+                    rows.append((host, *key, xxhash.xxh64_intdigest(f"{page} {n}") - (1 << 63)))
+            columns = list(zip(*rows)) or [[] for _ in range(4)]
+            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "token", "is_text", "container", "sign", "chars"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "token", "is_text", "sign"]
             )
 
     return pages.select("host", "page", "html").mapInArrow(run, TOKENS)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, texts, main, classes): the template of each host with enough pages.
+def classes_of(pages: DataFrame) -> DataFrame:
+    """(host, kinds, groups, tokens): tokens on enough pages, with their equivalence class; lists in step.
 
-    `texts` are the text tokens of valid classes, `main` the path token whose slots hold most varying text,
-    `classes` the number of valid equivalence classes. A host's template is bounded by the tokens of a
-    page divided by SHARE, however many pages it has.
+    A host's template is bounded by the tokens of a page divided by SHARE, however many pages it has.
     """
-    counted = page_tokens(pages).groupBy("host", "token", "is_text", "container").agg(
-        F.count("*").alias("pages"), F.bit_xor("sign").alias("vector"), F.sum("chars").alias("chars")
+    counted = page_tokens(pages).groupBy("host", "token", "is_text").agg(
+        F.count("*").alias("pages"), F.bit_xor("sign").alias("vector")
     )
     counted = stored(counted, "tokens")
     sizes = counted.filter("token = 0").select("host", F.col("pages").alias("all_pages")).filter(F.col("all_pages") >= MIN_PAGES)
-    marked = counted.filter("token != 0").join(sizes, "host").withColumn("valid", F.col("pages") >= F.col("all_pages") * SHARE)
-    valid = marked.filter("valid")
-    slots = marked.filter("NOT valid AND is_text").groupBy("host", F.col("container").alias("token")).agg(F.sum("chars").alias("varying"))
-    # Only containers that are template tokens themselves; among equals the smaller token.
-    best = (
-        slots.join(valid.filter("NOT is_text").select("host", "token"), ["host", "token"])
-        .groupBy("host")
-        .agg(F.max_by("token", F.struct("varying", "token")).alias("main"))
+    valid = counted.filter("token != 0").join(sizes, "host").filter(F.col("pages") >= F.col("all_pages") * SHARE)
+    listed = F.collect_list(F.struct("token", "is_text", F.xxhash64("vector", "pages").alias("group")))
+    return valid.groupBy("host").agg(listed.alias("l")).select(
+        "host", F.col("l.token").alias("tokens"), F.col("l.is_text").alias("kinds"), F.col("l.group").alias("groups")
     )
-    classes = valid.groupBy("host", "vector", "pages").agg(
-        F.flatten(F.collect_list(F.when(F.col("is_text"), F.array("token")).otherwise(F.array().cast("array<bigint>")))).alias("texts")
+
+
+def with_hosts(pages: DataFrame, found: DataFrame, on: str, tokens: str) -> DataFrame:
+    size = found.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(F.size(tokens)), F.lit(0)).alias("tokens")).first()
+    small = size["hosts"] <= BROADCAST_HOSTS and size["tokens"] <= BROADCAST_TOKENS
+    return pages.join(F.broadcast(found) if small else found, on, "left")
+
+
+def anchored(tokens: list[int], kinds: list[bool], groups: list[int]) -> dict[int, int]:
+    """Class of each token. A class of texts only is data that repeats, not template, and is left out."""
+    built = {g for g, text in zip(groups, kinds) if not text}
+    return {t: g for t, g in zip(tokens, groups) if g in built}
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, texts, main, classes): the template of each host with enough pages.
+
+    `texts` are the text tokens of valid classes, `main` the path token of the innermost element that holds
+    the varying text of its pages, `classes` the number of equivalence classes on enough pages.
+    """
+    found = stored(classes_of(pages), "classes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            kept: dict[str, dict[int, int]] = {}
+            names = ("host", "html", "tokens", "kinds", "groups")
+            at = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
+            for i in range(batch.num_rows):
+                host = at["host"][i].as_py()
+                if host not in kept:
+                    kept[host] = anchored(*(at[n][i].as_py() for n in names[2:]))
+                of = kept[host]
+                blocks = [b for b in blocks_of(at["html"][i].as_py()) if not b.noise]
+                texts = [token("text", b.path, b.text) for b in blocks]
+                sizes = weights([b for b, t in zip(blocks, texts) if t not in of])
+                whole = sum(len(b.text) for b, t in zip(blocks, texts) if t not in of)
+                ranks: Counter = Counter()
+                seen = set()
+                for b, t in zip(blocks, texts):
+                    for depth, p in enumerate(prefixes(b.container)):
+                        k = token("path", p)
+                        if k in of and k not in seen:
+                            seen.add(k)
+                            rows.append((host, k, False, ranks[of[k]], depth, sizes[p], whole))
+                            ranks[of[k]] += 1
+                    if t in of and t not in seen:
+                        seen.add(t)
+                        rows.append((host, t, True, ranks[of[t]], 0, 0, 0))
+                        ranks[of[t]] += 1
+            columns = list(zip(*rows)) or [[] for _ in range(7)]
+            kinds = [pa.string(), pa.int64(), pa.bool_(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["host", "token", "is_text", "rank", "depth", "inside", "whole"],
+            )
+
+    rows = with_hosts(pages.select("host", "html"), found, "host", "tokens").filter("tokens IS NOT NULL")
+    checked = (
+        rows.mapInArrow(run, "host string, token long, is_text boolean, rank long, depth long, inside long, whole long")
+        .groupBy("host", "token", "is_text")
+        # Tokens of a class that change places are out of order.
+        .agg(
+            (F.min("rank") == F.max("rank")).alias("ordered"),
+            F.max("depth").alias("depth"),
+            F.sum("inside").alias("inside"),
+            F.sum("whole").alias("whole"),
+        )
     )
-    return (
-        classes.groupBy("host")
-        .agg(F.flatten(F.collect_list("texts")).alias("texts"), F.count("*").alias("classes"))
-        .join(best, "host", "left")
-        .select("host", "texts", "main", "classes")
+    # The innermost element of those that hold nearly all varying text of their pages, and are on most text's pages.
+    held = F.expr("NOT is_text AND whole > 0") & (F.col("inside") >= MAIN_SHARE * F.col("whole"))
+    template = checked.groupBy("host").agg(
+        F.collect_list(F.when(F.col("is_text") & F.col("ordered"), F.col("token"))).alias("texts"),
+        F.collect_list(F.when(held, F.struct("depth", "inside", "token", "whole"))).alias("held"),
+    ).withColumn("main", F.expr("array_max(filter(held, x -> 2 * x.whole >= array_max(held.whole))).token"))
+    return template.join(found.select("host", F.size(F.array_distinct("groups")).cast("long").alias("classes")), "host").select(
+        "host", "texts", "main", "classes"
     )
 
 
@@ -312,9 +393,7 @@ def extract(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "
         ).select(F.col("host").alias("__host"), F.col("texts").alias("__texts"), F.col("main").alias("__main")),
         "templates",
     )
-    size = found.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(F.size("__texts")), F.lit(0)).alias("tokens")).first()
-    small = size["hosts"] <= BROADCAST_HOSTS and size["tokens"] <= BROADCAST_TOKENS
-    joined = hosted.join(F.broadcast(found) if small else found, "__host", "left")
+    joined = with_hosts(hosted, found, "__host", "__texts")
 
     columns = [c for c in base.columns]
     schema = T.StructType([*base.schema.fields, T.StructField("text", T.StringType())])
