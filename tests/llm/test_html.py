@@ -102,6 +102,23 @@ def test_texts_of_a_class_keep_their_order(spark):
     assert row["texts"] == [html.token("text", "body/div.end/p", "All rights")]
 
 
+@pytest.mark.parametrize("n,copies", [(6, 2), (30, 10)])
+def test_copies_on_a_host_keep_their_text(spark, n, copies):
+    story = lambda i: "copied" if i < copies else f"told {i}"
+    got = texts_of(spark, tagless(n, lambda i: f"<div class=content><p>Story {story(i)}.</p><p>It is {story(i)} again.</p></div>"))
+    assert got == {i: f"Story {story(i)}.\nIt is {story(i)} again." for i in range(n)}
+
+
+@pytest.mark.parametrize("n", [3, 20])
+def test_a_body_in_sibling_sections_is_whole(spark, n):
+    part = lambda i, k: f"Part {k} of story {i} is told here."
+    got = texts_of(
+        spark, tagless(n, lambda i: f"<div class=intro><p>{part(i, 1)}</p></div><div class=rest><p>{part(i, 2)}</p><p>{part(i, 3)}</p></div>", lambda i: ())
+    )
+    for i in range(n):
+        assert all(part(i, k) in got[i] for k in (1, 2, 3))
+
+
 def test_repeated_article_text_stays(spark):
     rows = [(i, "http://h/", "<article><p>same text</p></article>", None, None) for i in range(20)]
     assert {r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"same text"}

@@ -2,7 +2,7 @@
 
 A page is cut into blocks of text, each with its path of elements. Tokens of a page are its element paths
 and its texts at their paths. In Spark every token of a host gets its occurrence vector, how often each
-page has it, as a hash over pages. Tokens with equal vectors form an
+page has it, as a hash over pages; pages with the same texts count once. Tokens with equal vectors form an
 equivalence class. A class on enough pages is valid if it holds an element path, on which its texts hang, so
 that texts which only repeat are no template; in a second pass over the pages its texts are held to their
 order, and one that changes places within its class is no template. What is left are slots: text that varies
@@ -253,13 +253,14 @@ TOKENS = "host string, token long, is_text boolean, sign long"
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of each page, once per page, with a hash of page and count. `pages` has host, page, html."""
+    """Tokens of each page, once per page, with a hash of its texts and the count. `pages` has host, page, html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for host, page, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 blocks = [b for b in blocks_of(html) if not b.noise]
+                body = xxhash.xxh64_intdigest("\x00".join(b.text for b in blocks))
                 counts: Counter = Counter()
                 for b in blocks:
                     counts[token("text", b.path, b.text), True] += 1
@@ -268,7 +269,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                         counts[token("here", p), False] = 1
                 counts[0, False] = 1  # the page itself
                 for key, n in counts.items():
-                    rows.append((host, *key, xxhash.xxh64_intdigest(f"{page} {n}") - (1 << 63)))
+                    rows.append((host, *key, xxhash.xxh64_intdigest(f"{body} {n}") - (1 << 63)))
             columns = list(zip(*rows)) or [[] for _ in range(4)]
             kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -281,9 +282,10 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 def classes_of(pages: DataFrame) -> DataFrame:
     """(host, kinds, groups, tokens): tokens on enough pages, with their equivalence class; lists in step.
 
-    A host's template is bounded by the tokens of a page divided by SHARE, however many pages it has.
+    Pages with the same texts are one page: a group of copies says nothing about the template. A host's
+    template is bounded by the tokens of a page divided by SHARE, however many pages it has.
     """
-    counted = page_tokens(pages).groupBy("host", "token", "is_text").agg(
+    counted = page_tokens(pages).distinct().groupBy("host", "token", "is_text").agg(
         F.count("*").alias("pages"), F.bit_xor("sign").alias("vector")
     )
     counted = stored(counted, "tokens")
