@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, chat, decontaminate, html, language, packing, sharding, simhash, substring, warc
+from tripmill.llm import ann, chat, decontaminate, html, language, lines, packing, sharding, simhash, substring, warc
 from tripmill.llm.common import bounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,12 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 ORACLES: dict[str, str] = {
     "op3_warc": f"""
         WITH captures AS ({CAPTURES}),
@@ -236,4 +242,24 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM words LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op13_lines": r"""
+        WITH split AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents
+        ),
+        keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM split
+        ),
+        shared AS (
+            SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ),
+        judged AS (SELECT k.*, coalesce(doc_id != keeper, false) AS gone FROM keyed k LEFT JOIN shared USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
 }
