@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, chat, decontaminate, html, language, lines, packing, sharding, simhash, substring, warc
+from tripmill.llm import ann, chat, decontaminate, html, language, lines, packing, sharding, simhash, substring, warc, whitening
 from tripmill.llm.common import bounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=4)
+    # n times a number may pass 64 bits on very large tables; the operator's decimal is exact there too.
+    deviation = F.col("deviation").try_cast("long").alias("deviation")
+    return found.select("vec_id", "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
 @query
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
