@@ -34,14 +34,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write a table into the shared folder and read it again: later steps start from its files.
 
     It takes the place of a cached or locally checkpointed table, which is lost with its executor.
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

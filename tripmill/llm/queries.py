@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, chat, decontaminate, html, language, lines, packing, sharding, simhash, substring, warc, whitening
+from tripmill.llm import alignment, ann, chat, decontaminate, html, language, lines, packing, sharding, simhash, substring, warc, whitening
 from tripmill.llm.common import bounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,17 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def both_vocabularies() -> tuple[str, str]:
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align_tokens(table(spark, sf_dir, "documents"), both_vocabularies)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=4)
