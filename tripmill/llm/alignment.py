@@ -6,10 +6,11 @@ with their document; segmented cumulative sums of byte lengths give the end of e
 (document, end) put the two sides' ends together: ends that both have cut the document into groups, and the
 intervals between neighbouring ends are exactly the pairs of tokens whose bytes overlap, one interval a pair.
 
-Documents are dealt into classes of bounded size where they lie, and stored as ids. `Table.group_by` counts the
+Each document is read and aligned once, and stored with its groups and its id pairs, each pair once with its
+number of links. Documents are dealt into classes of bounded size where they lie. `Table.group_by` counts the
 id pairs of each class, Spark adds the partial counts of all classes up and answers every class with the
-corpus-wide counts of its own pairs, so nothing is broadcast that grows with the corpus. Documents then meet
-the answers of their class.
+corpus-wide counts of its own pairs, so nothing is broadcast that grows with the corpus. The stored pairs then
+meet the answers of their class.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,15 +44,7 @@ CUT = re.compile(r" (?<=\S )(?=\S)")
 # Fixed value: how pieces write a space.
 SPACE = "▁"
 
-ADDED = [
-    T.StructField("n_a", T.LongType()),
-    T.StructField("n_b", T.LongType()),
-    T.StructField("n_groups", T.LongType()),
-    T.StructField("n_links", T.LongType()),
-    T.StructField("n_best", T.LongType()),
-    T.StructField("count_sum", T.LongType()),
-    T.StructField("groups", T.StringType()),
-]
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def letter_bytes() -> dict[str, int]:
@@ -91,37 +84,47 @@ class Pair:
             *(f"{i}," for i in range(len(self.bytes_b))), *(f"{i};" for i in range(len(self.bytes_b))),
         ]
         self.written = pa.array([w.encode() for w in written], pa.binary())
+        self.known_bytes = {"a": pa.array(self.bytes_a, pa.binary()), "b": pa.array(self.bytes_b, pa.binary())}
+        #: A pair of ids is one number.
+        self.kind = np.dtype("<u4" if len(self.bytes_a) * len(self.bytes_b) <= 1 << 32 else "<u8")
         self._clear()
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
         self.table = {side: pa.array([], pa.list_(pa.int32())) for side in "ab"}
 
-    def _learn(self, words: list[str]) -> list[int]:
-        """Places of words in the tables of tokens; a word whose bytes the two sides do not give back has no tokens."""
-        if len(self.place) > CACHE_WORDS or max(len(t.values) for t in self.table.values()) > CACHE_TOKENS:
-            self._clear()
-        new = list(dict.fromkeys(w for w in words if w not in self.place))
-        found_a = [e.ids for e in self.a.encode_batch([f" {w}" for w in new], add_special_tokens=False)]
-        found_b = self.b.encode(new, num_threads=1)
-        for i, (w, a, b) in enumerate(zip(new, found_a, found_b), len(self.place)):
-            whole = f" {w}".encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-                found_a[i - len(self.place)] = found_b[i - len(self.place)] = []
+    def _learn(self, new: list[str]) -> None:
+        """Add the tokens of words; a word whose bytes a side does not give back gets none."""
+        found = {
+            "a": pa.array([e.ids for e in self.a.encode_batch([f" {w}" for w in new], add_special_tokens=False)], pa.list_(pa.int32())),
+            "b": pa.array(self.b.encode(new, num_threads=1), pa.list_(pa.int32())),
+        }
+        sizes = np.fromiter((len(w.encode()) + 1 for w in new), np.int64, len(new))
+        whole = f" {' '.join(new)}".encode()
+        good = np.ones(len(new), dtype=bool)
+        for side, lists in found.items():
+            ids = lists.flatten()
+            ends = np.concatenate(([0], np.cumsum(self.length[side][np.asarray(ids)])))[np.asarray(lists.offsets)]
+            given = b"".join(self.known_bytes[side].take(ids).to_pylist())
+            if given != whole or not np.array_equal(np.diff(ends), sizes):
+                good &= np.array([given[x:y] == f" {w}".encode() for w, x, y in zip(new, ends, ends[1:])])
+        for side, lists in found.items():
+            if not good.all():
+                lists = pa.array([ids if g else [] for ids, g in zip(lists.to_pylist(), good)], pa.list_(pa.int32()))
+            self.table[side] = pa.concat_arrays([self.table[side], lists])
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-        for side, found in (("a", found_a), ("b", found_b)):
-            self.table[side] = pa.concat_arrays([self.table[side], pa.array(found, pa.list_(pa.int32()))])
-        return [self.place[w] for w in words]
 
     def tokens(self, texts: list[str | None]) -> dict[str, pa.ListArray]:
         """Lists of ids of each text, by side; empty where there is no text or its bytes are not given back."""
         words = [([t] if self.crosses else CUT.split(t)) if t else [] for t in texts]
+        if len(self.place) > CACHE_WORDS or max(len(t.values) for t in self.table.values()) > CACHE_TOKENS:
+            self._clear()
         flat = list(itertools.chain.from_iterable(words))
-        try:
-            places = list(map(self.place.__getitem__, flat))
-        except KeyError:
-            places = self._learn(flat)
-        place = np.array(places, dtype=np.int64)
+        places = list(map(self.place.get, flat))
+        if None in places:
+            self._learn(list(dict.fromkeys(w for w, at in zip(flat, places) if at is None)))
+            places = map(self.place.__getitem__, flat)
+        place = np.fromiter(places, np.int64, len(flat))
         parent = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
         empty = np.asarray(pc.equal(pc.list_value_length(self.table["a"]), 0))
         spoilt = np.bincount(parent[empty[place]], minlength=len(words)) > 0 if len(place) else np.zeros(len(words), bool)
@@ -157,9 +160,9 @@ class Aligned:
     link_parents: np.ndarray
     links: dict[str, np.ndarray]
 
-    def id_pairs(self) -> np.ndarray:
+    def id_pairs(self, size_b: int) -> np.ndarray:
         """Both ids of each link in one number."""
-        return self.ids["a"][self.links["a"]].astype(np.int64) << np.int64(32) | self.ids["b"][self.links["b"]]
+        return self.ids["a"][self.links["a"]].astype(np.int64) * size_b + self.ids["b"][self.links["b"]]
 
 
 def segmented_ends(lists: pa.ListArray, lengths: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -224,61 +227,92 @@ def steps(batch: pa.RecordBatch, text_column: str) -> Iterator[pa.RecordBatch]:
             yield batch.slice(x, y - x)
 
 
-def dealt(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(class, id, text), stored: classes are runs of documents of a task, of about CLASS_BYTES of text."""
-    kind = docs.schema[id_column].dataType
-    schema = T.StructType([T.StructField("class", T.LongType()), T.StructField("id", kind), T.StructField("text", T.StringType())])
+def distinct_pairs(found: Aligned, pair: Pair, n: int) -> tuple[list[bytes], list[bytes]]:
+    """Of each document its different id pairs and how many links hold each, as packed numbers."""
+    pairs = found.id_pairs(len(pair.bytes_b))
+    order = np.lexsort((pairs, found.link_parents))
+    pairs, owner = pairs[order], found.link_parents[order]
+    new = np.concatenate(([True], (pairs[1:] != pairs[:-1]) | (owner[1:] != owner[:-1])))[: len(pairs)]
+    starts = np.flatnonzero(new)
+    times = np.diff(np.concatenate((starts, [len(pairs)]))).astype("<u4")
+    cuts = np.searchsorted(owner[starts], np.arange(n + 1)).tolist()
+    pairs = pairs[starts].astype(pair.kind)
+    return [pairs[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], [times[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
+
+
+def aligned_documents(docs: DataFrame, tokenizers: Callable[[], tuple[str, str]], id_column: str, text_column: str) -> DataFrame:
+    """(class, id, n_a, n_b, n_groups, n_links, groups, pairs, times); classes are runs of a task's documents."""
+    schema = T.StructType(
+        [
+            T.StructField("class", T.LongType()),
+            T.StructField("id", docs.schema[id_column].dataType),
+            *(T.StructField(c, T.LongType()) for c in NUMBERS),
+            T.StructField("groups", T.StringType()),
+            T.StructField("pairs", T.BinaryType()),
+            T.StructField("times", T.BinaryType()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, size = TaskContext.get().partitionId() << 32, 0
+        pair, first, size = pair_of(*tokenizers()), TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)).astype(np.int64)
-            number = first + (size + np.cumsum(sizes) - sizes) // CLASS_BYTES
-            size += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), *batch.columns], names=schema.names)
+            for step in steps(batch, "text"):
+                n = step.num_rows
+                found = align(pair.tokens(step.column("text").to_pylist()), pair)
+                size += pc.sum(pc.binary_length(step.column("text"))).as_py() or 0
+                owners = (found.parents["a"], found.parents["b"], found.group_parents, found.link_parents)
+                pairs, times = distinct_pairs(found, pair, n)
+                columns = [pa.array(np.full(n, first + size // CLASS_BYTES), pa.int64()), step.column("id")]
+                columns += [pa.array(np.bincount(o, minlength=n), pa.int64()) for o in owners]
+                columns += [pa.array(written_groups(found, pair, n), pa.string()), pa.array(pairs, pa.binary()), pa.array(times, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, schema), "dealt", compression="zstd")
+    return rows.mapInArrow(run, schema)
+
+
+def unpacked(column: pa.Array, kind: str | np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64)
 
 
 def counted_pairs(rows: DataFrame, tokenizers: Callable[[], tuple[str, str]]) -> DataFrame:
-    """(class, pair, n): how many links of a class hold a pair of ids; a class has a row per pair and task."""
+    """(class, pair, b, n): how many links of a class hold a pair of ids; a class has a row per pair and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(*tokenizers())
         kept: list[pa.Table] = []
         now = None
 
-        def added() -> pa.Table:
-            return pa.concat_tables(kept).group_by("pair", use_threads=False).aggregate([("n", "sum")]).select(["pair", "n_sum"])
+        def add_up() -> None:
+            added = pa.concat_tables(kept).group_by("pair", use_threads=False).aggregate([("n", "sum")])
+            kept[:] = [pa.table({"pair": added["pair"], "n": added["n_sum"]})]
 
         def flush() -> Iterator[pa.RecordBatch]:
             if kept:
-                table = added().rename_columns(["pair", "n"])
-                table = table.add_column(0, "class", pa.array(np.full(len(table), now), pa.int64()))
-                yield from table.combine_chunks().to_batches(max_chunksize=1 << 17)
-                kept.clear()
+                add_up()
+                table = kept.pop().combine_chunks()
+                own = pa.array(np.full(len(table), now), pa.int64())
+                b = pa.array(np.asarray(table["pair"]) % len(pair.bytes_b), pa.int64())
+                whole = pa.table({"class": own, "pair": table["pair"], "b": b, "n": table["n"]})
+                yield from whole.to_batches(max_chunksize=1 << 17)
 
         for batch in batches:
             for own in dict.fromkeys(batch.column("class").to_pylist()):
                 if own != now:
                     yield from flush()
                     now = own
-                for step in steps(batch.filter(pc.equal(batch.column("class"), own)), "text"):
-                    found = align(pair.tokens(step.column("text").to_pylist()), pair)
-                    links = pa.table({"pair": found.id_pairs()})
-                    some = links.group_by("pair", use_threads=False).aggregate([("pair", "count")])
-                    kept.append(some.select(["pair", "pair_count"]).rename_columns(["pair", "n"]))
-                    if len(kept) > 1 and sum(map(len, kept[1:])) > 2 * len(kept[0]) + (1 << 20):
-                        kept[:] = [added().rename_columns(["pair", "n"])]
+                part = batch.filter(pc.equal(batch.column("class"), own))
+                kept.append(pa.table({"pair": unpacked(part.column("pairs"), pair.kind), "n": unpacked(part.column("times"), "<u4")}))
+                if sum(map(len, kept[1:])) > len(kept[0]) + (1 << 20):
+                    add_up()
         yield from flush()
 
-    return rows.select("class", "text").mapInArrow(run, "class long, pair long, n long")
+    return rows.select("class", "pairs", "times").mapInArrow(run, "class long, pair long, b long, n long")
 
 
 def corpus_counts(partial: DataFrame) -> DataFrame:
     """(pair, total, best): links of each id pair in the corpus, and whether no pair with its B id has more."""
-    total = partial.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)))
+    total = partial.groupBy("pair", "b").agg(F.sum("n").alias("total"))
     # One row per B id: bounded by the vocabulary.
     most = total.groupBy("b").agg(F.max("total").alias("most"))
     return total.join(F.broadcast(most), "b").select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
@@ -290,60 +324,58 @@ def align_tokens(
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
+    keep: Callable[[Column], Column] = lambda groups: groups,
 ) -> DataFrame:
-    """Per row of docs its id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups, the ids by group.
-
-    `tokenizers` gives the paths of a byte-level vocabulary (side A) and of a piece model (side B) where the tasks
-    run. A pair's count is its number of links in the whole table; n_best are links whose count no pair with the
-    same B id exceeds. Null and empty texts, and texts that a side does not give back byte by byte, have no
-    tokens: zeros and empty groups. Repeated rows count and stay; other columns are ignored. A document is
-    aligned in one step, so memory grows with the longest one.
+    """Per row of docs its id, n_a, n_b, n_groups, n_links, groups, n_best and count_sum.
+
+    groups are the ids of both sides by group, or what `keep` makes of them before they are stored. `tokenizers`
+    gives the paths of a byte-level vocabulary (side A) and of a piece model (side B) where the tasks run. A pair's
+    count is its number of links in the whole table; n_best are links whose count no pair with the same B id
+    exceeds. Null and empty texts, and texts that a side does not give back byte by byte, have no tokens: zeros
+    and empty groups. Repeated rows count and stay; other columns are ignored. A document is aligned in one
+    step, so memory grows with the longest one.
     """
-    rows = dealt(docs, id_column, text_column)
+    read = aligned_documents(docs, tokenizers, id_column, text_column)
+    rows = stored(read.withColumn("groups", keep(F.col("groups"))), "aligned", compression="zstd")
     partial = stored(counted_pairs(rows, tokenizers), "pair-counts")
     answers = partial.select("class", "pair").distinct().join(corpus_counts(partial), "pair")
-    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), *ADDED])
+    # The answers of a class come before its documents, so a task holds those of one class and a batch.
+    given = answers.select("class", F.lit(False).alias("is_text"), "pair", "total", "best")
+    together = given.unionByName(rows.withColumn("is_text", F.lit(True)), allowMissingColumns=True)
+    together = together.repartition("class").sortWithinPartitions("class", "is_text")
+    kept = [f for f in rows.schema if f.name not in ("class", "pairs", "times")]
+    schema = T.StructType(
+        [*(T.StructField(id_column if f.name == "id" else f.name, f.dataType) for f in kept), T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(*tokenizers())
-        known: list[pa.RecordBatch] = []
-        now, pairs, totals, best = None, *[np.zeros(0, np.int64)] * 3
+        known: list[pa.RecordBatch] | None = []
+        now, codes, totals, best = None, *[np.zeros(0, np.int64)] * 3
         for batch in batches:
             for own in dict.fromkeys(batch.column("class").to_pylist()):
                 part = batch.filter(pc.equal(batch.column("class"), own))
-                is_text = part.column("is_text")
                 if own != now:
                     now, known = own, []
+                is_text = part.column("is_text")
                 if (given := part.filter(pc.invert(is_text))).num_rows:
                     known.append(given.select(["pair", "total", "best"]))
-                texts = part.filter(is_text)
-                if texts.num_rows and known is not None:
+                if not (texts := part.filter(is_text)).num_rows:
+                    continue
+                if known is not None:
                     found = pa.Table.from_batches(known).sort_by("pair") if known else None
-                    pairs, totals, best = (np.asarray(found[c]) if found else np.zeros(0, np.int64) for c in ("pair", "total", "best"))
+                    codes, totals, best = (np.asarray(found[c]) if found else np.zeros(0, np.int64) for c in ("pair", "total", "best"))
                     known = None
-                for step in steps(texts, "text"):
-                    n = step.num_rows
-                    aligned = align(pair.tokens(step.column("text").to_pylist()), pair)
-                    at = np.searchsorted(pairs, aligned.id_pairs())
-                    owner = aligned.link_parents
-                    per = [
-                        np.bincount(aligned.parents["a"], minlength=n), np.bincount(aligned.parents["b"], minlength=n),
-                        np.bincount(aligned.group_parents, minlength=n), np.bincount(owner, minlength=n),
-                        np.bincount(owner[best[at].astype(bool)], minlength=n), added_up(owner, totals[at], n),
-                    ]
-                    columns = [*(pa.array(c, pa.int64()) for c in per), pa.array(written_groups(aligned, pair, n), pa.string())]
-                    yield pa.RecordBatch.from_arrays([step.column("id"), *columns], names=schema.names)
+                times = unpacked(texts.column("times"), "<u4")
+                at = np.searchsorted(codes, unpacked(texts.column("pairs"), pair.kind))
+                ends = np.cumsum(np.asarray(pc.binary_length(texts.column("times"))).astype(np.int64) // 4)
+                sums = [added_up(times * best[at], ends), added_up(times * totals[at], ends)]
+                columns = [*(texts.column(f.name) for f in kept), *(pa.array(c, pa.int64()) for c in sums)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    # The answers of a class come before its documents, so a task holds those of one class and a batch.
-    none = F.lit(None)
-    asked = rows.select("class", F.lit(True).alias("is_text"), "id", "text", none.cast("long").alias("pair"), none.cast("long").alias("total"), none.cast("boolean").alias("best"))
-    given = answers.select("class", F.lit(False).alias("is_text"), none.cast(docs.schema[id_column].dataType).alias("id"), none.cast("string").alias("text"), "pair", "total", "best")
-    together = given.unionByName(asked).repartition("class").sortWithinPartitions("class", "is_text")
     return together.mapInArrow(run, schema)
 
 
-def added_up(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Exact sums of whole numbers by sorted group."""
-    sums = np.concatenate(([0], np.cumsum(values)))
-    ends = np.cumsum(np.bincount(group, minlength=n))
-    return np.diff(sums[np.concatenate(([0], ends))])
+def added_up(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Exact sums of whole numbers up to each end from the one before."""
+    return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[np.concatenate(([0], ends))])

@@ -149,9 +149,9 @@ def both_vocabularies() -> tuple[str, str]:
 
 @query
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alignment.align_tokens(table(spark, sf_dir, "documents"), both_vocabularies)
-    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    found = alignment.align_tokens(table(spark, sf_dir, "documents"), both_vocabularies, keep=digest)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
 
 
 @query
