@@ -16,9 +16,11 @@ meet the answers of their class.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ SPAN = 1 << 40
 
 # Single spaces between two characters that are no white space. Before them a token of either side ends.
 CUT = re.compile(r" (?<=\S )(?=\S)")
-# Fixed value: how pieces write a space.
+# How byte-level vocabularies cut a text into words, and how pieces write a space.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "▁"
 
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
@@ -54,6 +57,18 @@ def letter_bytes() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def lists_of(rows: list[list[int]]) -> pa.ListArray:
+    ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
+    flat = np.fromiter(itertools.chain.from_iterable(rows), np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
+
+
+def joined_bytes(values: pa.BinaryArray) -> bytes:
+    """The values one after another; a taken array holds nothing else."""
+    data = values.buffers()[2]
+    return data.to_pybytes()[: pc.sum(pc.binary_length(values)).as_py() or 0] if data is not None else b""
+
+
 class Pair:
     """The two tokenizers, the bytes of their tokens, and the tokens of words seen before.
 
@@ -72,6 +87,7 @@ class Pair:
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for entry, i in self.a.get_vocab().items():
             self.bytes_a[i] = entry.encode() if i in special else bytes(letters[c] for c in entry)
+        self.ranked = self._ranked(json.loads(Path(byte_path).read_text()), special)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
@@ -89,28 +105,52 @@ class Pair:
         self.kind = np.dtype("<u4" if len(self.bytes_a) * len(self.bytes_b) <= 1 << 32 else "<u8")
         self._clear()
 
+    def _ranked(self, described: dict, special: set[int]):
+        """The same byte-level vocabulary in a faster form, if its ids are in the order of its merges; else None."""
+        from tiktoken import Encoding
+
+        vocabulary, split = described["model"]["vocab"], described.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in described["model"]["merges"]]
+        merged = [vocabulary["".join(m)] for m in merges]
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        if not plain or described.get("normalizer") or merged != sorted(merged) or len(set(vocabulary.values()) - special) - len(merged) != 256:
+            return None
+        ranks = {b: i for i, b in enumerate(self.bytes_a) if i not in special}
+        return Encoding("byte-level", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
         self.table = {side: pa.array([], pa.list_(pa.int32())) for side in "ab"}
 
+    def _lists_a(self, words: list[str]) -> pa.ListArray:
+        """Ids of words, each with a space before it. Words that begin and end with a visible character go in one text."""
+        if not self.ranked:
+            return lists_of([e.ids for e in self.a.encode_batch([f" {w}" for w in words], add_special_tokens=False)])
+        joined = [w for w in words if not (w[0].isspace() or w[-1].isspace())]
+        ids = np.array(self.ranked.encode_ordinary(f" {' '.join(joined)}") if joined else [], np.int32)
+        stops = np.cumsum([len(w.encode()) + 1 for w in joined], dtype=np.int64)
+        at = np.searchsorted(np.cumsum(self.length["a"][ids]), stops, side="right")
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], at)), pa.int32()), pa.array(ids))
+        if len(joined) == len(words):
+            return lists
+        each = iter(lists.to_pylist())
+        return lists_of([self.ranked.encode_ordinary(f" {w}") if w[0].isspace() or w[-1].isspace() else next(each) for w in words])
+
     def _learn(self, new: list[str]) -> None:
         """Add the tokens of words; a word whose bytes a side does not give back gets none."""
-        found = {
-            "a": pa.array([e.ids for e in self.a.encode_batch([f" {w}" for w in new], add_special_tokens=False)], pa.list_(pa.int32())),
-            "b": pa.array(self.b.encode(new, num_threads=1), pa.list_(pa.int32())),
-        }
+        found = {"a": self._lists_a(new), "b": lists_of(self.b.encode(new, num_threads=1))}
         sizes = np.fromiter((len(w.encode()) + 1 for w in new), np.int64, len(new))
         whole = f" {' '.join(new)}".encode()
         good = np.ones(len(new), dtype=bool)
         for side, lists in found.items():
             ids = lists.flatten()
             ends = np.concatenate(([0], np.cumsum(self.length[side][np.asarray(ids)])))[np.asarray(lists.offsets)]
-            given = b"".join(self.known_bytes[side].take(ids).to_pylist())
+            given = joined_bytes(self.known_bytes[side].take(ids))
             if given != whole or not np.array_equal(np.diff(ends), sizes):
                 good &= np.array([given[x:y] == f" {w}".encode() for w, x, y in zip(new, ends, ends[1:])])
         for side, lists in found.items():
             if not good.all():
-                lists = pa.array([ids if g else [] for ids, g in zip(lists.to_pylist(), good)], pa.list_(pa.int32()))
+                lists = lists_of([ids if g else [] for ids, g in zip(lists.to_pylist(), good)])
             self.table[side] = pa.concat_arrays([self.table[side], lists])
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
 
@@ -212,8 +252,7 @@ def written_groups(found: Aligned, pair: Pair, n: int) -> list[str]:
     text = pair.written.take(pa.array(order))
     per_document = sum(np.bincount(p, minlength=n) for p in found.parents.values())
     ends = np.frombuffer(text.buffers()[1], dtype=np.int32)[np.concatenate(([0], np.cumsum(per_document)))].tolist()
-    data = text.buffers()[2]
-    whole = data.to_pybytes() if data is not None else b""
+    whole = joined_bytes(text)
     return [whole[x : max(x, y - 1)].decode() for x, y in zip(ends, ends[1:])]
 
 
