@@ -9,7 +9,6 @@ from tokenizers import Tokenizer
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-TOKENIZER.encode_special_tokens = True
 
 
 def ids_of(text):

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm.common import stored
 
@@ -66,15 +67,15 @@ class WordEncoder:
 
     The vocabulary merges within pieces: runs of letters, digits, runs of other signs. Plain texts are cut
     into pieces here and only unseen pieces go to the model. Words with any other character go through
-    the whole tokenizer; words are split at ASCII white space, at which pieces end in any case. Strings
-    of special tokens in a text are plain text.
+    the whole tokenizer; words are split at ASCII white space, at which pieces end in any case. A text with
+    the string of a special token goes through the tokenizer as a whole, which reads it as that token.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
@@ -98,6 +99,9 @@ class WordEncoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        lower = text.lower()
+        if any(s in lower for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not NOT_PLAIN.search(text):
             return self.plain(text)
         return b"".join(
@@ -218,7 +222,7 @@ def pack(
     schema = T.StructType(
         [T.StructField(id_column, id_type), *PIECE, T.StructField("__part", T.IntegerType()), T.StructField("__open", T.BooleanType())]
     )
-    arrow_id = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}[type(id_type)]
+    arrow_id = to_arrow_type(id_type)
     names = [f.name for f in schema]
     types = [arrow_id, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
 
