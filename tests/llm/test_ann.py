@@ -15,7 +15,7 @@ def test_graph_recall_and_degrees():
     centres = rng.standard_normal((30, 32))
     x = (centres[rng.integers(0, 30, 3000)] + 0.7 * rng.standard_normal((3000, 32))) * rng.uniform(0.5, 2, (3000, 1))
     queries = x[::60]
-    hits = ann.search_shard(x.astype(np.float32), [[i] for i in range(3000)], queries.astype(np.float32), 20)
+    hits = ann.Shard(x.astype(np.float32), [[i] for i in range(3000)]).search(queries.astype(np.float32), 20)
     found = [len({i for i, _ in hit} & {i for i, _ in brute(x.astype(np.float32), range(3000), q, 20)}) for hit, q in zip(hits, queries.astype(np.float32))]
     assert np.mean(found) / 20 >= 0.95
     graph = ann.Graph(ann.lengthened(x))
@@ -63,6 +63,27 @@ def test_several_shards_are_merged(spark, monkeypatch):
     assert [r["vec_id"] for r in got] == [i for i, _ in want]
 
 
+def test_recall_over_several_shards(spark, monkeypatch):
+    """Queries reach a shard in many batches."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    x = np.random.default_rng(4).standard_normal((2000, 24)).astype(np.float32)
+    got = {}
+    try:
+        for r in ann.nearest(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), "id % 10 = 0", k=20).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = [len(got[q] & {i for i, _ in brute(np.delete(x, q, 0), [i for i in range(2000) if i != q], x[q], 20)}) for q in range(0, 2000, 10)]
+    assert np.mean(found) / 20 >= 0.9
+
+
+def test_no_task_groups_all_queries(spark):
+    found = ann.nearest(vectors(spark, [(i, [float(i), 1.0]) for i in range(50)]), "id % 2 = 0")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroups" not in plan
+
+
 def test_empty_and_few(spark):
     assert ann.nearest(vectors(spark, []), "id % 20 = 0").count() == 0
     assert ann.nearest(vectors(spark, [(0, [1.0, 2.0])]), "id % 20 = 0").count() == 0

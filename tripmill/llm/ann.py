@@ -5,7 +5,8 @@ so that the largest inner product is the smallest distance. A shard builds a dir
 batches of growing size; a greedy search of the graph so far proposes neighbours, and robust pruning keeps a
 near one only if no kept one is closer to it by the factor ALPHA, so that long edges remain. Edges are added
 in both directions and full nodes are pruned again. Each query is searched in each shard with a beam, and the
-best of all shards are merged.
+best of all shards are merged. A task reads the points of a shard, builds its graph and then reads the queries
+batch by batch, so it holds one shard and one batch, however many queries there are.
 
 Equal vectors are one point with its smallest ids, as many as a result can hold, so a vector that fills a
 third of the table is one point of one shard. Scores are inner products of the given vectors in double
@@ -14,13 +15,16 @@ precision.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmill.llm.common import stored
+
 SHARD_ROWS = 1 << 14
 DEGREE = 28
 SLOTS = 40
@@ -151,22 +155,28 @@ def lengthened(x: np.ndarray) -> np.ndarray:
     return np.concatenate((x, np.sqrt(np.maximum(size.max() - size, 0))[:, None]), axis=1).astype(np.float32)
 
 
-def search_shard(x: np.ndarray, members: Sequence[Sequence[int]], queries: np.ndarray, k: int) -> list[list[tuple[int, float]]]:
-    """For each query up to k (id, score) of a shard, best first and smaller ids first among equals."""
-    out: list[list[tuple[int, float]]] = []
-    graph = Graph(lengthened(x))
-    pool = max(BEAM, k)
-    exact = x.astype(np.float64)
-    for at in range(0, len(queries), BLOCK):
-        part = queries[at : at + BLOCK]
-        wide = np.concatenate((part, np.zeros((len(part), 1))), axis=1).astype(np.float32)
-        found, _ = graph.search(wide, pool)
-        for q, ids in zip(part.astype(np.float64), found):
-            ids = ids[ids >= 0]
-            scores = exact[ids] @ q
-            rows = [(m, float(s)) for i, s in zip(ids.tolist(), scores.tolist()) for m in members[i]]
-            out.append(sorted(rows, key=lambda r: (-r[1], r[0]))[:k])
-    return out
+class Shard:
+    """The graph of a shard's points, and the ids that each point stands for."""
+
+    def __init__(self, x: np.ndarray, members: Sequence[Sequence[int]]) -> None:
+        order = np.lexsort(x.T[::-1])  # the graph must not depend on the order of arrival
+        self.members = [members[i] for i in order]
+        self.exact = x[order].astype(np.float64)
+        self.graph = Graph(lengthened(x[order]))
+
+    def search(self, queries: np.ndarray, k: int) -> list[list[tuple[int, float]]]:
+        """For each query up to k (id, score), best first and smaller ids first among equals."""
+        out: list[list[tuple[int, float]]] = []
+        for at in range(0, len(queries), BLOCK):
+            part = queries[at : at + BLOCK]
+            wide = np.concatenate((part, np.zeros((len(part), 1))), axis=1).astype(np.float32)
+            found, _ = self.graph.search(wide, max(BEAM, k))
+            for q, ids in zip(part.astype(np.float64), found):
+                ids = ids[ids >= 0]
+                scores = self.exact[ids] @ q
+                rows = [(m, float(s)) for i, s in zip(ids.tolist(), scores.tolist()) for m in self.members[i]]
+                out.append(sorted(rows, key=lambda r: (-r[1], r[0]))[:k])
+        return out
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -186,12 +196,13 @@ def nearest(
     """(query_id, rank, vec_id, score): for each row under `query_filter`, an expression over id, its k nearest.
 
     Every row but the query's own is a candidate. Ties go to the smaller id. Rows without a usable vector
-    take no part; repeated rows count once; fewer candidates give fewer rows.
+    take no part, nor do vectors of another length than most have; repeated rows count once; fewer candidates
+    give fewer rows. Ids are whole numbers.
     """
-    rows = usable(vectors, id_column, vector_column)
+    rows = stored(usable(vectors, id_column, vector_column), "vectors")
     # Of equal vectors only the k + 1 smallest ids can be in a result; the limit is applied before the shuffle.
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    points = rows.withColumn("__n", first).filter(F.col("__n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    points = rows.withColumn("__n", first).filter(F.col("__n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list(F.col("id").cast("long"))).alias("ids"))
     count = rows.count()
     shards = max(1, -(-count // SHARD_ROWS))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
@@ -199,22 +210,36 @@ def nearest(
     asked = queries.groupBy("v").agg(F.min("id").alias("q"))
     sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
-    def matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
-        values = column.combine_chunks()
-        return np.asarray(values.flatten()).reshape(n, -1)
-
-    def run(points: pa.Table, asked: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, float]] = []
-        if points.num_rows and asked.num_rows:
-            x, q = matrix(points["v"], points.num_rows), matrix(asked["v"], asked.num_rows)
-            order = np.lexsort(x.T[::-1])  # the graph must not depend on the order of arrival
-            members = points["ids"].to_pylist()
-            hits = search_shard(x[order], [members[i] for i in order], q, k + 1)
-            found = [(key, *hit) for key, some in zip(asked["q"].to_pylist(), hits) for hit in some]
-        key, ids, scores = zip(*found) if found else ([], [], [])
-        return pa.table({"q": pa.array(key, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
-
-    found = dealt.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(run, "q long, vec_id long, score double")
+    def matrix(column: pa.Array) -> np.ndarray:
+        return np.asarray(column.flatten()).reshape(len(column), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points: list[pa.RecordBatch] = []
+        now, shard = None, None
+        for batch in batches:
+            for own in dict.fromkeys(batch.column("shard").to_pylist()):
+                part = batch.filter(pc.equal(batch.column("shard"), own))
+                if own != now:
+                    now, shard, points = own, None, []
+                asks = pc.is_valid(part.column("q"))
+                points.append(part.filter(pc.invert(asks)).select(["v", "ids"]))
+                asked = part.filter(asks)
+                if not asked.num_rows:
+                    continue
+                if shard is None and any(p.num_rows for p in points):
+                    x = np.concatenate([matrix(p.column("v")) for p in points if p.num_rows])
+                    shard, points = Shard(x, [ids for p in points for ids in p.column("ids").to_pylist()]), []
+                hits = shard.search(matrix(asked.column("v")), k + 1) if shard else []
+                found = [(key, *hit) for key, some in zip(asked.column("q").to_pylist(), hits) for hit in some]
+                columns = zip(*found) if found else ([], [], [])
+                kinds = (pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["q", "vec_id", "score"])
+
+    # The points of a shard come before the queries.
+    rows_of = dealt.select("shard", "v", "ids", F.lit(None).cast("long").alias("q"))
+    together = rows_of.unionByName(sent.select("shard", "v", F.lit(None).cast("array<long>").alias("ids"), F.col("q").cast("long")))
+    streamed = together.repartition("shard").sortWithinPartitions("shard", F.col("q").isNotNull())
+    found = streamed.mapInArrow(run, "q long, vec_id long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("__n", F.row_number().over(best)).filter(F.col("__n") <= k + 1).drop("__n")
     named = queries.join(asked.withColumnRenamed("v", "av"), F.col("v") == F.col("av")).select(F.col("id").alias("query_id"), "q")
