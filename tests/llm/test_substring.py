@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from llm_brute import brute_substring as brute
 from tripmill.llm import substring
@@ -65,6 +66,21 @@ def test_edge_tables(spark, docs, clashing):
     assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in got) == [(0, 40), (1, 40), (1, 40), (2, 0)]
 
 
+def test_repeated_rows_are_dealt_into_parts(spark, docs, monkeypatch):
+    """A third of the rows are equal in id and text."""
+    monkeypatch.setattr(substring, "CLASS_BYTES", 4_000)
+    row = " ".join(f"r{i}" for i in range(40))
+    others = [(d, " ".join(f"d{d}w{i}" for i in range(40))) for d in range(600)]
+    df = docs(*[(-1, row)] * 300, *others).repartition(8)
+    found = substring.remove_repeats(df, window=10)
+    got = [(r["doc_id"], r["n_removed"], r["kept_text"]) for r in found.collect()]
+    assert sorted(got) == sorted([(-1, 40, "")] * 300 + [(d, 0, t) for d, t in others])
+    dealt = df.withColumn("__class", F.when(F.col("doc_id") < 0, 0).otherwise(F.col("doc_id") % 20 + 1))
+    parts = substring.in_parts(dealt, substring.large_classes(dealt, "text"))
+    sizes = parts.groupBy("__class", "__part").agg(F.sum(F.octet_length("text")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 2 * substring.CLASS_BYTES
+
+
 def test_query(spark, docs, write_table):
     texts = corpus(1, 30, 35)
     got = {r["doc_id"]: r for r in QUERIES["op5_substring"](spark, write_table(documents=docs(*enumerate(texts)))).collect()}

@@ -8,7 +8,8 @@ Documents are dealt into classes of bounded size by a hash of id and text, known
 Tasks read documents where they lie and send each hash, with its class, to the bucket of its leading bits,
 packed into one binary row per task and bucket, a hash of one class at most twice. So a very frequent
 window costs each task two numbers. A bucket sorts what it gets and answers each class with those of its
-hashes that occur elsewhere. Documents then meet the answers of their class and look their windows up.
+hashes that occur elsewhere. Documents then meet the answers of their class and look their windows up. A class
+that repeated rows make large is dealt into parts of bounded size there, each with the class's answers.
 
 With 64 bits, n windows have about n*n/2**65 false pairs: 0.0005 expected at 10**8, two at 10**10.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import without
+from tripmill.llm.common import stored, without
 
 WINDOW = 35
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -174,6 +175,19 @@ def repeated_hashes(rows: DataFrame, bucket_bits: int, n_classes: int, window: i
     return sent.groupBy("bucket").applyInArrow(count, "class int, hashes binary")
 
 
+def large_classes(dealt: DataFrame, text_column: str) -> DataFrame:
+    """(__class, __parts) of classes that repeated rows, equal in id and text, make large."""
+    sizes = dealt.groupBy("__class").agg(F.sum(F.octet_length(F.col(f"`{text_column}`"))).alias("n"))
+    large = sizes.filter(F.col("n") > 2 * CLASS_BYTES)
+    return stored(large.select("__class", F.ceil(F.col("n") / CLASS_BYTES).cast("int").alias("__parts")), "large-classes")
+
+
+def in_parts(dealt: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows with __part: any part of a large class may take each of its rows."""
+    part = F.pmod(F.monotonically_increasing_id(), F.coalesce("__parts", F.lit(1))).cast("int")
+    return dealt.join(large, "__class", "left").withColumn("__part", part)
+
+
 def remove_repeats(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW
 ) -> DataFrame:
@@ -183,7 +197,7 @@ def remove_repeats(
     and is empty if none stays. A null text has no words. Repeated rows count as repeats of one another.
     Columns with the four names are replaced.
     """
-    base = without(docs, [*(f.name for f in ADDED), "__class", "__text"])
+    base = without(docs, [*(f.name for f in ADDED), "__class", "__text", "__part", "__parts"])
     total = base.agg(F.sum(F.octet_length(F.col(f"`{text_column}`"))).alias("n")).first()["n"] or 0
     n_classes = max(1, -(-total // CLASS_BYTES))
     bucket_bits = max(0, (total // BUCKET_BYTES).bit_length())
@@ -211,9 +225,15 @@ def remove_repeats(
             edges = np.flatnonzero(np.diff(np.concatenate(([0], goes.view(np.int8), [0])))).tolist()
             spans.append([{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2])])
             kept.append(b" ".join([w for w, x in zip(words, goes.tolist()) if not x] if removed[-1] else words).decode())
-        out = rows.drop_columns(["__class"])
+        out = rows.drop_columns(["__class", "__part"])
         for field, values, kind in zip(ADDED, (counts, removed, kept, spans), (pa.int64(), pa.int64(), pa.string(), SPANS)):
             out = out.append_column(field.name, pa.array(values, kind))
         return out
 
-    return dealt.groupBy("__class").cogroup(answers.groupBy("class")).applyInArrow(cut, schema)
+    large = large_classes(dealt, text_column)
+    rows, parts = in_parts(dealt, large), F.coalesce("__parts", F.lit(1))
+    answers = answers.withColumnRenamed("class", "__class").join(large, "__class", "left")
+    answers = answers.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    keys = ("__class", "__part")
+    rows, answers = rows.select(*keys, *[F.col(f"`{c}`") for c in base.columns]), answers.select(*keys, "hashes")
+    return rows.groupBy(*keys).cogroup(answers.groupBy(*keys)).applyInArrow(cut, schema)
