@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators import dims, quality, skew, state
 from tripmill.operators.silver import first_occurrence, first_occurrence_by_min
-from tripmill.sources.keyed import KeyedTable, committed
+from tripmill.sources.bucketed import BucketedTable
 from tripmill.sources import files, tables
 
 DAY = dt.date(2024, 1, 1)
@@ -167,51 +168,67 @@ def test_upsert_delete_and_unseen(spark, rows):
 RIDES = "ride_id string, status string, n int"
 
 
-def keyed(spark, path, merge=None):
-    schema = spark.createDataFrame([], RIDES).schema
-    return KeyedTable(spark, str(path), "ride_id", schema, KeyedTable.hashed("ride_id", 4), merge)
+@pytest.fixture
+def ride_table(spark):
+    table = BucketedTable(spark, f"rides_{uuid.uuid4().hex}", "ride_id", 4)
+    yield table
+    table.drop()
 
 
-def test_keyed_table_puts_deletes_and_compacts(spark, rows, tmp_path):
-    table = keyed(spark, tmp_path / "rides")
-    assert table.read().count() == 0
-    table.put(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
+def physical(df):
+    text = df._jdf.queryExecution().toString()
+    return text[text.index("== Physical Plan ==") :]
+
+
+def test_bucketed_table_saves_deletes_and_keeps_two_versions(spark, rows, ride_table):
+    table = ride_table
+    table.save(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
     new = spark.createDataFrame([("r1", "completed", 1), ("r99", "requested", 99)], RIDES)
-    for _ in range(2):  # a repeated put changes nothing
-        table.put(new, 1)
+    for _ in range(2):  # a repeated save changes nothing
+        table.save(new)
         got = {r["ride_id"]: r["status"] for r in rows(table.read())}
         assert len(got) == 41 and got["r1"] == "completed" and got["r2"] == "requested"
     table.delete(table.read().filter("ride_id <> 'r5'"))
     assert [r["ride_id"] for r in rows(table.read())] == ["r5"]
     for _ in range(3):
-        table.compact()
-        table.put(new)
-        assert sorted(r["ride_id"] for r in rows(table.read())) == ["r1", "r5", "r99"]
-    # Only the last compaction and what is newer, and the one before for its readers, are kept.
-    assert len(committed(spark, f"{tmp_path}/rides/compacted")) == 2 and len(committed(spark, f"{tmp_path}/rides")) <= 2
+        table.save(new)
+    assert sorted(r["ride_id"] for r in rows(table.read())) == ["r1", "r5", "r99"]
+    assert len(table.versions()) == 2
 
 
-def test_a_put_that_stops_half_way_loses_nothing(spark, rows, tmp_path):
-    table = keyed(spark, tmp_path / "rides")
-    table.put(spark.createDataFrame([("a", "requested", 1), ("b", "requested", 1)], RIDES), 0)
+def test_a_save_that_stops_half_way_loses_nothing(spark, rows, ride_table):
+    ride_table.save(spark.createDataFrame([("a", "requested", 1), ("b", "requested", None)], RIDES))
     bad = spark.createDataFrame([("a", "completed", 2)], RIDES).withColumn(
         "n", F.when(F.col("n") == 2, F.raise_error(F.lit("stopped")).cast("int"))
     )
     with pytest.raises(Exception, match="stopped"):
-        table.put(bad, 1)
-    assert {r["ride_id"]: r["status"] for r in rows(table.read())} == {"a": "requested", "b": "requested"}
-    table.put(spark.createDataFrame([("a", "completed", 2)], RIDES), 1)
-    assert {r["ride_id"]: r["status"] for r in rows(table.read())} == {"a": "completed", "b": "requested"}
+        ride_table.save(bad)
+    assert {r["ride_id"]: r["status"] for r in rows(ride_table.read())} == {"a": "requested", "b": "requested"}
+    ride_table.save(spark.createDataFrame([("a", "completed", None)], RIDES))
+    assert {r["ride_id"]: (r["status"], r["n"]) for r in rows(ride_table.read())} == {"a": ("completed", None), "b": ("requested", None)}
 
 
-def test_a_lookup_reads_one_folder(spark, rows, tmp_path):
-    table = keyed(spark, tmp_path / "rides")
-    table.put(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
-    table.put(spark.createDataFrame([("r7", "completed", 7)], RIDES))
-    found = table.find("r7")
+def test_a_lookup_reads_one_bucket(spark, rows, ride_table):
+    ride_table.save(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
+    ride_table.save(spark.createDataFrame([("r7", "completed", 7)], RIDES))
+    found = ride_table.find("r7")
     assert [r["status"] for r in rows(found)] == ["completed"]
-    assert "PartitionFilters: [isnotnull(_split" in found._jdf.queryExecution().toString()
-    assert table.find("none").count() == 0
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan names buckets only so
+    try:
+        assert "SelectedBucketsCount: 1 out of 4" in physical(ride_table.find("r7"))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert ride_table.find("none").count() == 0
+
+
+def test_saves_and_deletes_leave_the_stored_rows_in_their_buckets(spark, ride_table):
+    ride_table.save(spark.createDataFrame([(f"r{i}", "requested", i) for i in range(40)], RIDES))
+    new = spark.createDataFrame([("r7", "completed", 7)], RIDES)
+    for plan in (physical(ride_table.merged(new)), physical(ride_table.without(new))):
+        assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+        scan = plan.index("Scan parquet")
+        assert "Exchange" not in plan[plan.index("SortMergeJoin") : scan]  # the stored side comes first
+
 
 def test_tables_views_sql_and_retention(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-05"), (3, "2024-01-09")], "id int, day string")

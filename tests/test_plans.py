@@ -143,15 +143,43 @@ def test_nothing_of_bronze_is_lost_in_a_build(spark, tmp_path):
     assert reasons == ["bad_timestamp", "malformed", "missing_ride_id"]
 
 
-def test_versions_are_met_by_month(spark):
+def test_versions_are_met_by_an_as_of_join(spark):
+    """A key with 1,000 versions and a third of the facts: each fact meets one version, in many sorted runs."""
+    import datetime as dt
+
     from tripmill.operators import dims
 
-    day = "2024-01-01 00:00:00"
-    facts = spark.createDataFrame([(i, "d", day) for i in range(5)], "ride_id int, driver_id string, at string").withColumn("at", F.to_date("at"))
-    log = spark.createDataFrame([("d", f"20{y:02d}-01-01", y) for y in range(10, 40)], "driver_id string, day string, v int")
-    dim = log.select("driver_id", F.to_date("day").alias("effective_date"), F.add_months(F.to_date("day"), 12).alias("end_date"), "v")
+    first = dt.date(2020, 1, 1)
+    rows = [(i, "d" if i % 3 == 0 else None if i % 3 == 1 else f"x{i}", first + dt.timedelta(days=i % 1300 - 100)) for i in range(6000)]
+    facts = spark.createDataFrame([(*r[:2], str(r[2])) for r in rows], "ride_id int, driver_id string, at string").withColumn("at", F.to_date("at"))
+    dim = spark.range(1000).select(
+        F.lit("d").alias("driver_id"),
+        F.date_add(F.lit(first), F.col("id").cast("int")).alias("effective_date"),
+        F.when(F.col("id") < 999, F.date_add(F.lit(first), F.col("id").cast("int") + 1)).alias("end_date"),
+        F.col("id").alias("v"),
+    )
     found = dims.scd2_lookup(facts, dim, "driver_id", "at", "ride_id", ["v"])
-    assert {r.v for r in found.collect()} == {24}
+    got = {r.ride_id: r.v for r in found.collect()}
+    assert len(got) == len(rows)
+    for i, key, day in rows:
+        age = (day - first).days
+        assert got[i] == (min(age, 999) if key == "d" and age >= 0 else None)
     text = plan(found)
-    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[[^\]]*_month", text)
-    assert joins
+    physical = text[text.index("== Physical Plan ==") :]
+    assert "SortMergeJoin" not in physical and "trunc" not in physical and "CartesianProduct" not in physical
+    runs = found.sparkSession.createDataFrame(rows, "ride_id int, driver_id string, at date").filter("driver_id = 'd'")
+    sizes = runs.groupBy(F.pmod(F.xxhash64("ride_id"), F.lit(dims.HOT_SPLITS))).count().agg(F.max("count")).first()[0]
+    assert sizes < 2000 / 10
+
+
+def test_ended_versions_and_gaps_match_nothing(spark):
+    from tripmill.operators import dims
+
+    dim = spark.createDataFrame(
+        [("d", "2024-01-01", "2024-01-05", 1), ("d", "2024-01-10", None, 2), ("e", "2024-01-01", "2024-02-01", 3), (None, "2024-01-01", None, 4)],
+        "driver_id string, effective_date string, end_date string, v int",
+    )
+    facts = [("d", "2024-01-04"), ("d", "2024-01-05"), ("d", "2024-01-10"), ("e", "2024-02-01"), (None, "2024-01-02"), ("d", None), ("d", "2023-12-31")]
+    df = spark.createDataFrame([(i, *f) for i, f in enumerate(facts)], "ride_id int, driver_id string, at string").withColumn("at", F.to_date("at"))
+    got = {r.ride_id: r.v for r in dims.scd2_lookup(df, dim, "driver_id", "at", "ride_id", ["v"]).collect()}
+    assert got == {0: 1, 1: None, 2: 2, 3: None, 4: None, 5: None, 6: None}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.operators import lifecycle
 from tripmill.plans import bindings
 from tripmill.schemas import ACCEPTED, BRONZE, COMPLETED, GPS, REQUESTED, STARTED
-from tripmill.sources import files
+from tripmill.sources import batches, files
 from tripmill.streaming import events as se
 from tripmill.streaming import lifecycle as sl
 from tripmill.streaming import metrics as sm
@@ -139,31 +139,54 @@ def ride_events(spark):
     )
 
 
-@pytest.mark.parametrize("max_files", [1, 2, 5])
-def test_ride_table_equals_the_batch_replay_for_any_split_into_batches(spark, tmp_path, max_files):
+def ride_batches(spark):
+    """Events in five parts: one a year late comes first, and the last two repeat events."""
     df = ride_events(spark)
     late = df.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("interval 400 days")).filter("ride_id = 'a' AND event_type = 'gps_update'")
     late = late.withColumn("event_id", F.lit("very late"))
-    source, offsets = str(tmp_path / "in"), str(tmp_path / "cp")
     done = F.col("event_type").isin(COMPLETED, GPS)
-    for part in (late, df.filter(done), df.filter(~done), df.filter(done), df.filter("ride_id = 'd'")):
-        write(part, source)  # the last two repeat events: redelivery
-    table = sl.ride_table(spark, str(tmp_path / "rides"), df.schema, 2)
-    stream = files.stream_files(spark, source, df.schema, max_files=max_files)
-    query = se.run_available(sl.write_rides(stream, table, offsets, compact_every=2))
-    assert len(query.recentProgress) >= 5 // max_files
-    want = lifecycle.replayed(df.unionByName(late))
-    assert same(sl.read_rides(table).select(*want.columns), want)
-    assert "Python" not in sl.read_rides(table)._jdf.queryExecution().toString()
+    parts = (late, df.filter(done), df.filter(~done), df.filter(done), df.filter("ride_id = 'd'"))
+    return parts, lifecycle.replayed(df.unionByName(late)), df.schema
+
+
+@pytest.mark.parametrize("max_files", [1, 4, 16])
+def test_streaming_state_equals_the_batch_replay_for_any_split_into_batches(spark, tmp_path, max_files):
+    source, offsets, out = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "rides")
+    parts, want, schema = ride_batches(spark)
+    for part in parts:
+        write(part, source)
+    stream = files.stream_files(spark, source, schema, max_files=max_files)
+    query = se.run_available(sl.write_rides(stream, out, offsets, compact_every=2))
+    (operator,) = query.lastProgress["stateOperators"]
+    assert operator["operatorName"] == "stateStoreSave" and operator["numRowsTotal"] == 5
+    assert any("rocksdb" in m for m in operator["customMetrics"])
+    assert same(sl.read_rides(spark, out, schema).select(*want.columns), want)
+    assert "Python" not in sl.read_rides(spark, out, schema)._jdf.queryExecution().toString()
+
+
+def test_streaming_state_goes_on_after_a_restart(spark, tmp_path):
+    source, offsets, out = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "rides")
+    parts, want, schema = ride_batches(spark)
+    for part in parts:
+        write(part, source)
+        stream = files.stream_files(spark, source, schema)
+        query = se.run_available(sl.write_rides(stream, out, offsets, compact_every=2))
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 5
+    assert same(sl.read_rides(spark, out, schema).select(*want.columns), want)
+    folders = [p.name for p in (tmp_path / "rides").iterdir() if p.name.startswith("batch=")]
+    assert len(folders) <= 5  # compaction removed old batches
 
 
 def test_windows_of_a_repeated_batch_stay(spark, metric_rows, tmp_path):
-    rows = sm.window_metrics(metric_rows)
-    table = sm.window_table(spark, str(tmp_path / "w"), rows.schema)
-    table.put(rows.withColumn("rides_completed_count", F.lit(0).cast("bigint")), 0)
+    rows, path = sm.window_metrics(metric_rows), str(tmp_path / "w")
+    rows.withColumn("rides_completed_count", F.lit(0).cast("bigint")).write.parquet(f"{path}/batch=0")
     for _ in range(2):
-        table.put(rows, 1)
-    assert same(sm.read_windows(spark, str(tmp_path / "w"), rows.schema), rows)
+        rows.write.mode("overwrite").parquet(f"{path}/batch=1")
+    assert same(sm.read_windows(spark, path, rows.schema), rows)
+    for _ in range(2):
+        batches.compact(spark, path, rows.schema, sm.WINDOW_KEYS, 0)
+        assert same(sm.read_windows(spark, path, rows.schema), rows)
+    assert batches.read_batches(spark, path, rows.schema).select("batch").distinct().collect() == [(1,)]
 
 
 def test_streams_read_a_table_stored_as_a_folder(spark, sf_dir, tmp_path):

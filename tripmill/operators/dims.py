@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.geo import grid_cell
 from tripmill.functions.keys import UNKNOWN_KEY, date_key, hashed, surrogate_key, time_key
 from tripmill.operators.facts import SLA_SECONDS
-from tripmill.operators.skew import frequent_keys, lookup_join
+from tripmill.operators.skew import HOT_SPLITS, frequent_keys, lookup_join
 
 
 def _daily_state(log: DataFrame, key: str, ts: str, attributes: list[str], tie: str) -> DataFrame:
@@ -85,24 +85,33 @@ def scd2_lookup(
 ) -> DataFrame:
     """The version valid on the date of each fact; facts before the first version get NULLs.
 
-    Versions are listed under each month they cover and facts meet those of their month only, so a key
-    with very many versions does not meet all of them for each fact. The facts are read again for the
-    last date and, unless the frequent keys are given, for their key.
+    An as-of join: facts and versions are put together and sorted by key and date once, and each fact takes the
+    last version that began by then, if it has not ended. No fact meets more than one version, however many a
+    key has. Facts of the frequent keys and facts without a key are dealt over many sorted runs, into which
+    the versions of these keys alone are copied. Unless given, the frequent keys are found by a sketch of
+    the facts, which reads their key once more.
     """
-    day, start, stop = F.col(on_date), F.col("_from"), F.col("_to")
-    last_day = facts.agg(F.to_date(F.max(on_date)).alias("_last")).scalar()
-    versions = dim.select(
-        key, F.to_date("effective_date").alias("_from"), F.to_date("end_date").alias("_to"), *take
-    )
-    last = F.greatest(start, F.coalesce(F.date_sub(stop, 1), last_day, start))
-    months = F.sequence(F.trunc(start, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    by_month = versions.withColumn("_version_month", F.explode(months))
-    inside = (start <= day) & (stop.isNull() | (day < stop)) & (F.col("_month") == F.col("_version_month"))
-    frequent = frequent_keys(facts, key) if frequent is None else frequent
-    return lookup_join(
-        facts.withColumn("_month", F.trunc(day, "month")), by_month, key,
-        spread_by=[spread_by], frequent=frequent, condition=inside,
-    ).drop("_from", "_to", "_month", "_version_month")
+    hot = F.broadcast((frequent_keys(facts, key) if frequent is None else frequent).select("_hot_key", F.lit(True).alias("_hot")))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(hot, F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
+
+    start, stop = F.to_date("effective_date"), F.to_date("end_date")
+    version = F.struct(start.alias("_from"), stop.alias("_to"), *take)
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SPLITS - 1))).otherwise(F.array(F.lit(0)))
+    versions = marked(dim.filter(F.col(key).isNotNull() & start.isNotNull())).select(
+        key, F.explode(copies).alias("_run"), start.alias("_day"), version.alias("_version")
+    )
+    spread = F.coalesce("_hot", F.lit(False)) | F.col(key).isNull()
+    run = F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(HOT_SPLITS)).cast("int")).otherwise(F.lit(0))
+    fact = F.struct(*facts.columns)
+    wanted = marked(facts).select(key, run.alias("_run"), F.col(on_date).cast("date").alias("_day"), fact.alias("_fact"))
+    # Of one day the version comes before the facts.
+    by_day = Window.partitionBy(key, "_run").orderBy("_day", F.col("_fact").isNotNull())
+    known = F.last("_version", ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = versions.unionByName(wanted, allowMissingColumns=True).withColumn("_known", known)
+    valid = F.col("_known._to").isNull() | (F.col("_day") < F.col("_known._to"))
+    return both.filter(F.col("_fact").isNotNull()).select("_fact.*", *[F.when(valid, F.col(f"_known.{c}")).alias(c) for c in take])
 
 
 def dim_driver(log: DataFrame, key: str, ts: str, attributes: list[str], tie: str) -> DataFrame:

@@ -19,7 +19,7 @@ from tripmill.operators.quality import (
 from tripmill.operators.silver import stamp_loaded, to_silver
 from tripmill.schemas import CORRUPT
 from tripmill.sources.files import write_partitioned
-from tripmill.sources.keyed import DELTA, committed, mark_done, remove
+from tripmill.sources.tables import is_folder, partition_values, remove_partitions
 
 GOLD_MODELS = {
     "stg_metrics": gold.hourly_metrics,
@@ -38,10 +38,17 @@ def split_bronze(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_rows(checked).drop(CORRUPT), dead_letters(checked)
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """The folder of the newest version that was built to the end."""
-    done = committed(spark, base)
-    return f"{base}/{DELTA}={done[-1]}" if done else None
+LAYERS = ("rejects", "stg_rides", *GOLD_MODELS)
+VERSIONS = "versions"
+
+
+def finished(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the versions that were built to the end and are still kept, the oldest first."""
+    if not is_folder(spark, f"{base}/{VERSIONS}"):
+        return []
+    rows = spark.read.schema("version long").parquet(f"{base}/{VERSIONS}")
+    kept = set(partition_values(spark, base, "version"))
+    return sorted(r["version"] for r in rows.distinct().collect() if str(r["version"]) in kept)
 
 
 def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day") -> dict[str, DataFrame]:
@@ -49,13 +56,14 @@ def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day"
 
     Nothing of an earlier version is read or kept in the new one: silver by event date (the day, or the
     first day of a longer `period`), the rejects of bronze with reasons, and every gold model from silver.
-    The version counts once all of it is written, so a build that stops half way leaves the last one in
-    force. The version before it is kept for its readers, older ones are removed. Silver and rejects together
-    have every row of bronze but the redeliveries.
+    The version counts once it is entered in the table of versions, after all of it is written, so a build that
+    stops half way leaves the last one in force. The version before it is kept for its readers, older ones
+    and unfinished ones are removed. Silver and rejects together have every row of bronze but the redeliveries.
     """
-    done = committed(spark, base)
-    version = f"{base}/{DELTA}={done[-1] + 1 if done else 0}"
-    remove(spark, version)
+    done = finished(spark, base)
+    found = [int(v) for v in partition_values(spark, base, "version")] if is_folder(spark, base) else []
+    number = max(found, default=-1) + 1
+    version = f"{base}/version={number}"
     good, bad = split_bronze(bronze)
     stamp_loaded(bad).write.parquet(f"{version}/rejects")
     dated = stamp_loaded(to_silver(good)).withColumn("event_date", F.to_date(F.date_trunc(period, "event_timestamp")))
@@ -63,16 +71,15 @@ def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day"
     silver = spark.read.parquet(f"{version}/stg_rides")
     for name, model in GOLD_MODELS.items():
         stamp_loaded(model(silver)).write.parquet(f"{version}/{name}")
-    mark_done(spark, version)
-    for n in done[:-1]:
-        remove(spark, f"{base}/{DELTA}={n}")
+    spark.range(number, number + 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{base}/{VERSIONS}")
+    remove_partitions(spark, base, "version", [str(n) for n in found if n not in done[-1:]])
     return read_layers(spark, base)
 
 
 def read_layers(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The tables of the newest version."""
-    version = current_version(spark, base)
-    return {name: spark.read.parquet(f"{version}/{name}") for name in ("stg_rides", "rejects", *GOLD_MODELS)}
+    version = f"{base}/version={finished(spark, base)[-1]}"
+    return {name: spark.read.parquet(f"{version}/{name}") for name in LAYERS}
 
 
 def _summaries(bronze: DataFrame, models: dict[str, DataFrame]) -> list[DataFrame]:

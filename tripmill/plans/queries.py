@@ -24,9 +24,9 @@ from tripmill.operators import (
 )
 from tripmill.plans import bindings as bind
 from tripmill.plans import medallion
-from tripmill.session import plain_times, work_dir
+from tripmill.session import kept, plain_times, work_dir
 from tripmill.sources import files, tables
-from tripmill.sources.keyed import KeyedTable
+from tripmill.sources.bucketed import BucketedTable
 from tripmill.streaming import events as stream_events
 from tripmill.streaming import lifecycle as stream_lifecycle
 from tripmill.streaming import metrics as stream_metrics
@@ -38,7 +38,6 @@ AS_OF = "2001-08-02"
 SUMMARY_DAYS = 30
 RETENTION_DAYS = 730
 CHANGE_CUT = "1998-01-01"
-BUCKETS = 8
 STREAM_FILES = 4
 PII_SALT = "pepper"
 
@@ -418,41 +417,42 @@ def rides_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATE_COLUMNS = ("ride_id", "status", "driver_id", "distance_km", "fare_cents", "completed_at")
 
 
-def _ride_states(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, DataFrame]:
-    rides = lifecycle.rides_current(bind.silver(spark, sf_dir)).select(*STATE_COLUMNS)
-    split = KeyedTable.hashed("ride_id", BUCKETS)
-    return KeyedTable(spark, work_dir(spark, "rides"), "ride_id", rides.schema, split), rides
+def _ride_table(spark: SparkSession) -> BucketedTable:
+    return BucketedTable(spark, f"rides_{uuid.uuid4().hex}", "ride_id")
+
+
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed log, stored once for queries that read it several times."""
+    return kept(bind.silver(spark, sf_dir), "silver")
 
 
 @query
 def ride_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States as of a date, then the states of all rides with later events put over them."""
-    events = bind.silver(spark, sf_dir)
+    events = _stored_silver(spark, sf_dir)
     cut = F.lit(CHANGE_CUT).cast("timestamp")
-    before = lifecycle.rides_current(events.filter(F.col("event_timestamp") < cut))
     later = events.filter(F.col("event_timestamp") >= cut).select("ride_id")
-    after = lifecycle.rides_current(state.find_many(events, "ride_id", later))
-    table, _ = _ride_states(spark, sf_dir)
-    table.put(before)
-    table.put(after)
+    table = _ride_table(spark)
+    table.save(lifecycle.rides_current(events.filter(F.col("event_timestamp") < cut)).select(*STATE_COLUMNS))
+    table.save(lifecycle.rides_current(state.find_many(events, "ride_id", later)).select(*STATE_COLUMNS))
     return table.read()
 
 
 @query
 def ride_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, rides = _ride_states(spark, sf_dir)
-    table.put(rides)
+    table = _ride_table(spark)
+    table.save(lifecycle.rides_current(bind.silver(spark, sf_dir)).select(*STATE_COLUMNS))
     table.delete(state.find(table.read(), "status", "cancelled"))
-    table.compact()
     return table.read()
 
 
 @query
 def ride_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ride with the greatest id, looked up by its id after two puts."""
-    table, rides = _ride_states(spark, sf_dir)
-    table.put(rides.withColumn("status", F.lit("stale")))
-    table.put(rides)
+    """The ride with the greatest id, looked up by its id after two saves."""
+    table = _ride_table(spark)
+    rides = kept(lifecycle.rides_current(bind.silver(spark, sf_dir)).select(*STATE_COLUMNS), "rides")
+    table.save(rides.withColumn("status", F.lit("stale")))
+    table.save(rides)
     wanted = table.read().agg(F.max("ride_id")).first()[0]
     return table.find(wanted)
 
@@ -726,14 +726,14 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rides_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver events as a stream of several files, one per micro-batch, kept as a table of rides."""
+    """Silver events as a stream of several files, one per micro-batch, rides kept in streaming state."""
     source = work_dir(spark, "silver")
     events = bind.silver(spark, sf_dir)
     events.repartition(STREAM_FILES, "event_id").write.parquet(source)
     stream = files.stream_files(spark, source, events.schema, max_files=1)
-    table = stream_lifecycle.ride_table(spark, work_dir(spark, "rides"), events.schema, BUCKETS)
-    stream_events.run_available(stream_lifecycle.write_rides(stream, table, work_dir(spark, "offsets")))
-    return stream_lifecycle.read_rides(table).filter(F.col("error").isNull()).drop("error")
+    path = work_dir(spark, "rides")
+    stream_events.run_available(stream_lifecycle.write_rides(stream, path, work_dir(spark, "offsets")))
+    return stream_lifecycle.read_rides(spark, path, events.schema).filter(F.col("error").isNull()).drop("error")
 
 
 @query

@@ -46,6 +46,18 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def native_state(spark: SparkSession) -> None:
+    """Streaming state in RocksDB, outside the heap, however many keys there are."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table into the shared working folder and read it again, for operators that read it several times."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plain_times(df: DataFrame) -> DataFrame:
     """Return instants as zone-less timestamps, the form Parquet inputs and other engines use."""
     return df.select(

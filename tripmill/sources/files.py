@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tripmill.schemas import BRONZE, CORRUPT
-from tripmill.sources.keyed import is_folder
+from tripmill.sources.tables import is_folder
 
 LANDING_TRIGGER = "300 seconds"
 

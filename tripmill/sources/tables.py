@@ -7,7 +7,28 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.sources.keyed import _folder, remove
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, path)
+    return files.exists(where) and files.getFileStatus(where).isDirectory()
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the folders `<column>=<value>` of a table on files; one per day or batch."""
+    files, where = _folder(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(where)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def remove_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    for value in values:
+        files, where = _folder(spark, f"{path}/{column}={value}")
+        files.delete(where, True)
 
 
 def register_external(
@@ -69,9 +90,13 @@ def expire_partitions(spark: SparkSession, table: str, day: str, as_of: date, da
 def expire_folders(spark: SparkSession, path: str, day: str, as_of: date, days: int) -> list[str]:
     """Remove the folders `<day>=<date>` of a table on files that are past retention; returns their dates."""
     cutoff = (as_of - timedelta(days=days)).isoformat()
-    files, where = _folder(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(where)]
-    old = sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day}=") and n.split("=", 1)[1] < cutoff)
-    for value in old:
-        remove(spark, f"{path}/{day}={value}")
+    old = [v for v in partition_values(spark, path, day) if v < cutoff]
+    remove_partitions(spark, path, day, old)
+    return old
+
+
+def expire_numbers(spark: SparkSession, path: str, column: str, first: int) -> list[str]:
+    """Remove the folders `<column>=<number>` with a number from 0 up to before `first`."""
+    old = [v for v in partition_values(spark, path, column) if 0 <= int(v) < first]
+    remove_partitions(spark, path, column, old)
     return old

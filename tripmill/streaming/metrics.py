@@ -9,11 +9,12 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tripmill.functions.numeric import half_up
 from tripmill.schemas import COMPLETED
-from tripmill.sources.keyed import KeyedTable
+from tripmill.session import native_state
+from tripmill.sources.batches import COMPACT_EVERY, latest, write_batches
 
 WINDOW = "5 minutes"
 WATERMARK = "10 minutes"
-COMPACT_EVERY = 32
+WINDOW_KEYS = ["window_start", "window_end"]
 
 
 def window_metrics(
@@ -57,32 +58,14 @@ def as_messages(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def window_table(spark: SparkSession, path: str, metrics: T.StructType) -> KeyedTable:
-    """A table of windows, split by day."""
-    return KeyedTable(spark, path, "window_start", metrics, "to_date(window_start)")
-
-
 def write_windows(metrics: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY) -> DataStreamWriter:
-    """Update mode into a table: each trigger re-emits changed windows, the table keeps the latest.
-
-    A micro-batch writes only its own windows, under its number, so repeating it changes nothing.
-    """
-    table = window_table(metrics.sparkSession, path, metrics.schema)
-
-    def put(batch: DataFrame, number: int) -> None:
-        table.put(batch, number)
-        if number % compact_every == compact_every - 1:
-            table.compact()
-
-    return (
-        metrics.writeStream.outputMode("update")
-        .foreachBatch(put)
-        .option("checkpointLocation", checkpoint)
-    )
+    """Update mode into a table: each trigger writes changed windows anew, readers take the latest."""
+    native_state(metrics.sparkSession)
+    return write_batches(metrics, path, checkpoint, WINDOW_KEYS, compact_every)
 
 
 def read_windows(spark: SparkSession, path: str, metrics: T.StructType) -> DataFrame:
-    return window_table(spark, path, metrics).read()
+    return latest(spark, path, metrics, WINDOW_KEYS)
 
 
 def write_final_windows(metrics: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
