@@ -93,14 +93,37 @@ def test_lineage_columns(spark, sf_dir):
     assert row._source_file.endswith("orders.parquet") and row._loaded_at is not None
 
 
-def test_id_difference_shuffles_once(spark):
+def test_id_difference_compares_digests_first(spark):
     from tripmill.operators import quality
 
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "event_id string")
     found = quality.id_difference(df, df.filter("event_id = 'a'"), "event_id")
     text = plan(found)
-    assert text[text.index("== Physical Plan ==") :].count("Exchange hashpartitioning") == 1
+    physical = text[text.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning(event_id") == 1 and "LeftSemi" in physical
     assert [tuple(r) for r in found.collect()] == [("b", "left")]
+    # Where both sides agree, in whatever order and with repeats, nothing but digests is shuffled.
+    big = spark.range(20_000).select(F.concat(F.lit("e"), F.col("id") % 15_000).alias("event_id"))
+    equal = quality.id_difference(big, big.orderBy(F.rand(3)), "event_id")
+    assert quality.differing_buckets(big, big.repartition(3), "event_id").count() == 0 and equal.count() == 0
+    gone = quality.id_difference(big, big.filter("event_id != 'e77'").union(spark.createDataFrame([("z",), (None,)], "event_id string")), "event_id")
+    assert sorted(map(str, gone.collect())) == sorted(["Row(event_id='e77', side='left')", "Row(event_id='z', side='right')", "Row(event_id=None, side='right')"])
+    assert quality.differing_buckets(big, big.filter("event_id != 'e77'"), "event_id").count() == 1
+
+
+def test_row_checks_are_counted_while_layers_are_written(spark, sf_dir, tmp_path):
+    log = bindings.bronze(spark, sf_dir)
+    ours = {tuple(r) for r in medallion.written_summary(log, f"{tmp_path}/layers").collect()}
+    assert ours == {tuple(r) for r in medallion.quality_summary(log).collect()}
+    built = medallion.build(spark, log, f"{tmp_path}/a", "month")
+    counted = {tuple(r) for r in built["checks"].drop("_loaded_at").collect()}
+    assert {r for r in counted if r[1] == "stg_rides"} == {r for r in ours if r[1] == "stg_rides" and r[0] != "unique"}
+    rides = built["stg_rides"].count()
+    with pytest.raises(medallion.LayerRejectedError, match="fare_not_negative"):
+        medallion.build(spark, log.filter("CAST(ride_id AS BIGINT) % 83 = 0"), f"{tmp_path}/a", "month", {"fare_not_negative": 0.0})
+    assert medallion.read_layers(spark, f"{tmp_path}/a")["stg_rides"].count() == rides
+    medallion.build(spark, log, f"{tmp_path}/a", "month", {"fare_not_negative": 0.5, "unknown": 0.0})
+    assert (tmp_path / "a" / "versions").exists() and len(list((tmp_path / "a").glob("version=*"))) == 2
 
 
 def test_a_second_build_equals_a_fresh_one(spark, sf_dir, tmp_path):

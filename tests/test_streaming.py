@@ -202,3 +202,17 @@ def test_streams_read_a_table_stored_as_a_folder(spark, sf_dir, tmp_path):
     for name in ("window_5min_stream", "stream_dedup", "landing", "landing_rejects"):
         assert name in ORACLES
         assert same(QUERIES[name](spark, str(tmp_path)), QUERIES[name](spark, sf_dir))
+
+
+def test_checks_are_reported_per_batch(spark, tmp_path):
+    from tripmill.operators.quality import in_range, not_null
+
+    source, checks = str(tmp_path / "in"), [not_null("event_type"), in_range("fare", "fare_cents", 0)]
+    for fares in ([1, 2], [-1, None, 5]):
+        write(spark.createDataFrame([(minutes(1), COMPLETED if f else None, f, 1.0, 1.0) for f in fares], METRIC_ROWS), source)
+    stream = files.stream_files(spark, source, spark.createDataFrame([], METRIC_ROWS).schema, max_files=1)
+    checked = se.observe_checks(stream, checks)
+    query = se.run_available(checked.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")))
+    found = se.reported_checks(query, checks)
+    assert sorted((r["check"], r["violations"], r["total"]) for r in found) == [
+        ("fare", 0, 2), ("fare", 1, 3), ("not_null", 0, 2), ("not_null", 1, 3)]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.fares import SURGE_RANGE
@@ -72,24 +72,49 @@ def violations(df: DataFrame, check: RowCheck) -> DataFrame:
     return df.filter(check.broken)
 
 
+def check_counts(checks: list[RowCheck]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total"), *[F.count_if(c.broken).alias(f"c{i}") for i, c in enumerate(checks)]]
+
+
+def _summary_row(check: RowCheck, table: str, violations: Column, total: Column) -> Column:
+    return F.struct(
+        F.lit(check.name).alias("check"),
+        F.lit(table).alias("table"),
+        F.lit(check.column).alias("column"),
+        violations.cast("long").alias("violations"),
+        total.cast("long").alias("total"),
+    )
+
+
+def observed(df: DataFrame, checks: list[RowCheck]) -> tuple[DataFrame, Observation]:
+    """The rows, with the checks counted while they are written: no pass of their own.
+
+    Apply it last before the write. Rows that a shuffle after it sends again, because an executor
+    was lost, would count twice.
+    """
+    seen = Observation()
+    return df.observe(seen, *check_counts(checks)), seen
+
+
+def observed_summary(spark: SparkSession, seen: Observation, table: str, checks: list[RowCheck]) -> DataFrame:
+    """What `summarise_rows` gives, from the counts of a write that is done."""
+    found = seen.get
+    total = F.lit(found.get("total", 0))
+    rows = [_summary_row(c, table, F.lit(found.get(f"c{i}", 0)), total) for i, c in enumerate(checks)]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def beyond_limits(summary: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """Checks of the summary that more rows break than the share given for their name; names without one may break."""
+    allowed = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]) if limits else F.create_map().cast("map<string,double>")
+    share = F.col("violations") / F.greatest(F.col("total"), F.lit(1))
+    return summary.filter(share > F.element_at(allowed, F.col("check")))
+
+
 def summarise_rows(df: DataFrame, table: str, checks: list[RowCheck]) -> DataFrame:
     """One summary row per check, counted in a single pass over the table."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(check.broken).alias(f"c{i}") for i, check in enumerate(checks)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(check.name).alias("check"),
-                F.lit(table).alias("table"),
-                F.lit(check.column).alias("column"),
-                F.col(f"c{i}").alias("violations"),
-                F.col("total"),
-            )
-            for i, check in enumerate(checks)
-        ]
-    )
+    counts = df.agg(*check_counts(checks))
+    rows = F.array(*[_summary_row(c, table, F.col(f"c{i}"), F.col("total")) for i, c in enumerate(checks)])
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
@@ -165,8 +190,66 @@ def reconcile_totals(parts: DataFrame, whole: DataFrame, amount: str) -> DataFra
     )
 
 
+#: Buckets of ids that digests are made of; as many rows at most are broadcast.
+DIGEST_BUCKETS = 4096
+
+
+def _bucket(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(DIGEST_BUCKETS))
+
+
+def digests(df: DataFrame, *keys: str) -> DataFrame:
+    """(_bucket, n, x, s): count, exclusive or and sum of hashes of the rows of each bucket, in any order.
+
+    Two tables with the same rows, repeats included, have the same digests. With two hashes of 64 bits, others
+    do not.
+    """
+    other = F.xxhash64(F.lit(1), *keys)
+    return df.groupBy(_bucket(*keys).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(other).alias("x"), F.sum(F.xxhash64(*keys).cast("decimal(38,0)")).alias("s")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+    """Buckets of ids whose rows are not the same on both sides."""
+    a = digests(left, *keys).select("_bucket", F.struct("n", "x", "s").alias("_a"))
+    b = digests(right, *keys).select("_bucket", F.struct("n", "x", "s").alias("_b"))
+    return a.join(b, "_bucket", "full_outer").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("_bucket")
+
+
+def stage_changes(before: DataFrame, after: DataFrame, by: str, *columns: str) -> DataFrame:
+    """Per value of `by`, rows of both tables and whether they hold the same rows, repeats included.
+
+    Only one digest per value is shuffled, whatever the tables hold.
+    """
+
+    def digest(df: DataFrame, name: str) -> DataFrame:
+        rows = F.struct(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(F.lit(1), *columns)).alias("x"),
+            F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("s"),
+        )
+        return df.groupBy(F.col(by).alias("_by")).agg(rows.alias(name))
+
+    a, b = digest(before, "_a"), digest(after, "_b")
+    both = a.join(b, a["_by"].eqNullSafe(b["_by"]), "full_outer")
+    return both.select(
+        F.coalesce(a["_by"], b["_by"]).alias(by),
+        F.coalesce("_a.n", F.lit(0)).alias("rows_before"),
+        F.coalesce("_b.n", F.lit(0)).alias("rows_after"),
+        F.col("_a").eqNullSafe(F.col("_b")).alias("same"),
+    )
+
+
 def id_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Ids found on one side only, from one grouping of both sides."""
+    """Ids found on one side only.
+
+    Both sides are first compared by digests of hash buckets, which is all that is shuffled where they agree.
+    Only ids of buckets that differ are grouped. Each side is read twice.
+    """
+    differing = F.broadcast(differing_buckets(left, right, key))
+    left, right = (
+        df.select(key, _bucket(key).alias("_bucket")).join(differing, "_bucket", "left_semi").select(key) for df in (left, right)
+    )
     both = left.select(key, F.lit(True).alias("_left"), F.lit(False).alias("_right")).unionByName(
         right.select(key, F.lit(False).alias("_left"), F.lit(True).alias("_right"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +11,19 @@ from pyspark.sql import functions as F
 from tripmill.operators import gold
 from tripmill.operators.ingest import check_event, check_payload, dead_letters, valid_rows
 from tripmill.operators.quality import (
+    RowCheck,
+    beyond_limits,
     bronze_checks,
     not_null,
+    observed,
+    observed_summary,
     silver_checks,
     summarise_rows,
     summarise_unique,
 )
 from tripmill.operators.silver import stamp_loaded, to_silver
 from tripmill.schemas import CORRUPT
-from tripmill.sources.files import write_partitioned
+from tripmill.sources.files import rebalanced
 from tripmill.sources.tables import is_folder, partition_values, remove_partitions
 
 GOLD_MODELS = {
@@ -38,7 +43,34 @@ def split_bronze(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_rows(checked).drop(CORRUPT), dead_letters(checked)
 
 
-LAYERS = ("rejects", "stg_rides", *GOLD_MODELS)
+COUNTED = {
+    "stg_metrics": ("metric_hour", "rides_completed_count"),
+    "rides_summary": ("ride_date", "rides_completed"),
+    "driver_metrics": ("driver_id", "rides_completed"),
+    "passenger_metrics": ("passenger_id", "rides_taken"),
+}
+
+
+def row_checks(table: str) -> list[RowCheck]:
+    """The declared checks of single rows of a layer."""
+    if table == "ride_events":
+        return bronze_checks()
+    return silver_checks() if table == "stg_rides" else [not_null(c) for c in COUNTED[table]]
+
+
+class LayerRejectedError(ValueError):
+    """More rows of a layer break a check than its limit allows."""
+
+
+def checked_write(df: DataFrame, table: str, write: Callable[[DataFrame], None]) -> DataFrame:
+    """Write a table and count its row checks in the same pass; returns their summary."""
+    checks = row_checks(table)
+    rows, seen = observed(df, checks)
+    write(rows)
+    return observed_summary(df.sparkSession, seen, table, checks)
+
+
+LAYERS = ("rejects", "checks", "stg_rides", *GOLD_MODELS)
 VERSIONS = "versions"
 
 
@@ -51,13 +83,16 @@ def finished(spark: SparkSession, base: str) -> list[int]:
     return sorted(r["version"] for r in rows.distinct().collect() if str(r["version"]) in kept)
 
 
-def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day") -> dict[str, DataFrame]:
+def build(
+    spark: SparkSession, bronze: DataFrame, base: str, period: str = "day", limits: dict[str, float] | None = None
+) -> dict[str, DataFrame]:
     """Build all layers anew in a version folder of their own; returns the written tables.
 
     Nothing of an earlier version is read or kept in the new one: silver by event date (the day, or the
     first day of a longer `period`), the rejects of bronze with reasons, and every gold model from silver.
     The version counts once it is entered in the table of versions, after all of it is written, so a build that
-    stops half way leaves the last one in force. The version before it is kept for its readers, older ones
+    stops half way leaves the last one in force. Row checks are counted while the layers are written and kept as
+    `checks`; `limits` gives the share of rows that may break a check, and beyond one the version does not count. The version before it is kept for its readers, older ones
     and unfinished ones are removed. Silver and rejects together have every row of bronze but the redeliveries.
     """
     done = finished(spark, base)
@@ -67,10 +102,21 @@ def build(spark: SparkSession, bronze: DataFrame, base: str, period: str = "day"
     good, bad = split_bronze(bronze)
     stamp_loaded(bad).write.parquet(f"{version}/rejects")
     dated = stamp_loaded(to_silver(good)).withColumn("event_date", F.to_date(F.date_trunc(period, "event_timestamp")))
-    write_partitioned(dated, f"{version}/stg_rides", "event_date", ("ride_id", "event_timestamp"))
-    silver = spark.read.parquet(f"{version}/stg_rides")
+    path = f"{version}/stg_rides"
+    checks = [
+        checked_write(
+            rebalanced(dated, "event_date", ("ride_id", "event_timestamp")), "stg_rides",
+            lambda rows: rows.write.partitionBy("event_date").parquet(path),
+        )
+    ]
+    silver = spark.read.parquet(path)
     for name, model in GOLD_MODELS.items():
-        stamp_loaded(model(silver)).write.parquet(f"{version}/{name}")
+        checks.append(checked_write(stamp_loaded(model(silver)), name, lambda rows, name=name: rows.write.parquet(f"{version}/{name}")))
+    summary = reduce(DataFrame.unionByName, checks)
+    stamp_loaded(summary.coalesce(1)).write.parquet(f"{version}/checks")
+    broken = beyond_limits(spark.read.parquet(f"{version}/checks"), limits or {}).collect()
+    if broken:
+        raise LayerRejectedError(", ".join(f"{r['table']}.{r['check']}({r['column']}): {r['violations']} of {r['total']}" for r in broken))
     spark.range(number, number + 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{base}/{VERSIONS}")
     remove_partitions(spark, base, "version", [str(n) for n in found if n not in done[-1:]])
     return read_layers(spark, base)
@@ -82,29 +128,17 @@ def read_layers(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{version}/{name}") for name in LAYERS}
 
 
-def _summaries(bronze: DataFrame, models: dict[str, DataFrame]) -> list[DataFrame]:
-    silver = models["stg_rides"]
-    hourly, daily = models["stg_metrics"], models["rides_summary"]
-    parts = [
-        summarise_rows(bronze, "ride_events", bronze_checks()),
-        summarise_unique(bronze, "ride_events", "event_id"),
-        summarise_rows(silver, "stg_rides", silver_checks()),
-        summarise_unique(silver, "stg_rides", "event_id"),
-        summarise_rows(
-            hourly, "stg_metrics", [not_null("metric_hour"), not_null("rides_completed_count")]
-        ),
-        summarise_rows(daily, "rides_summary", [not_null("ride_date"), not_null("rides_completed")]),
-        summarise_unique(
-            daily, "rides_summary", "ride_date", "driver_id", "passenger_id", nulls_too=True
-        ),
-    ]
-    for table, who, count in (
-        ("driver_metrics", "driver_id", "rides_completed"),
-        ("passenger_metrics", "passenger_id", "rides_taken"),
-    ):
-        parts.append(summarise_rows(models[table], table, [not_null(who), not_null(count)]))
-        parts.append(summarise_unique(models[table], table, who))
-    return parts
+UNIQUE_CHECKS: dict[str, tuple[tuple[str, ...], bool]] = {
+    "ride_events": (("event_id",), False),
+    "stg_rides": (("event_id",), False),
+    "rides_summary": (("ride_date", "driver_id", "passenger_id"), True),
+    "driver_metrics": (("driver_id",), False),
+    "passenger_metrics": (("passenger_id",), False),
+}
+
+
+def _unique(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    return [summarise_unique(tables[t], t, *keys, nulls_too=nulls) for t, (keys, nulls) in UNIQUE_CHECKS.items()]
 
 
 def quality_summary(bronze: DataFrame, models: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -115,4 +149,24 @@ def quality_summary(bronze: DataFrame, models: dict[str, DataFrame] | None = Non
     if models is None:
         silver = to_silver(bronze)
         models = {"stg_rides": silver} | {n: model(silver) for n, model in GOLD_MODELS.items()}
-    return reduce(DataFrame.unionByName, _summaries(bronze, models))
+    tables = {"ride_events": bronze} | {t: models[t] for t in ("stg_rides", *GOLD_MODELS)}
+    rows = [summarise_rows(df, t, row_checks(t)) for t, df in tables.items()]
+    return reduce(DataFrame.unionByName, [*rows, *_unique(tables)])
+
+
+def written_summary(bronze: DataFrame, base: str) -> DataFrame:
+    """The same summary of layers that are written to `base` by it.
+
+    Row checks are counted within the writes. Only uniqueness reads a written table, once each.
+    """
+    spark, parts, tables = bronze.sparkSession, [], {}
+
+    def put(df: DataFrame, table: str) -> DataFrame:
+        parts.append(checked_write(df, table, lambda rows: rows.write.parquet(f"{base}/{table}")))
+        tables[table] = spark.read.parquet(f"{base}/{table}")
+        return tables[table]
+
+    silver = put(to_silver(put(bronze, "ride_events")), "stg_rides")
+    for name, model in GOLD_MODELS.items():
+        put(model(silver), name)
+    return reduce(DataFrame.unionByName, [*parts, *_unique(tables)])

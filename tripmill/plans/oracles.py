@@ -356,7 +356,6 @@ replayed AS (
 )"""
 
 # The same with its two large parts computed once.
-STORED = REPLAYED.replace("bronze AS (", "bronze AS MATERIALIZED (").replace("replayed AS (", "replayed AS MATERIALIZED (")
 
 CURRENT = f"WITH {REPLAYED} SELECT * EXCLUDE (error) FROM replayed WHERE error IS NULL"
 STATES = "ride_id, status, driver_id, distance_km, fare_cents, completed_at"
@@ -681,12 +680,32 @@ ORACLES: dict[str, str] = {
         WHERE error IS NULL AND status <> 'cancelled'""",
     "ride_by_id": f"""WITH {REPLAYED} SELECT {STATES} FROM replayed WHERE error IS NULL
         ORDER BY ride_id DESC LIMIT 1""",
-    "event_history": f"""WITH {STORED}
+    "event_history": f"""WITH {BRONZE},
+        wrong AS (
+            SELECT ride_id FROM rides
+            WHERE trim(rider_id) = '' OR pickup_lat > 90 OR dropoff_lat > 90
+               OR (driver_id IS NOT NULL AND order_status = 'F' AND (k % 101 = 0 OR fare_cents < 0))
+        )
         SELECT event_id, ride_id, event_type, "timestamp",
             '{{' || CASE WHEN rider_id IS NULL THEN '' ELSE '"rider_id":"' || rider_id || '",' END
             || CASE WHEN driver_id IS NULL THEN '' ELSE '"driver_id":"' || driver_id || '",' END
             || '"fare_cents":' || fare_cents || '}}' AS data
-        FROM bronze SEMI JOIN (SELECT ride_id FROM replayed WHERE error IS NOT NULL) USING (ride_id)""",
+        FROM bronze WHERE ride_id IN (SELECT ride_id FROM wrong)""",
+    "stage_changes": f"""{ONCE},
+        a AS (SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month, count(*) AS n FROM bronze GROUP BY 1),
+        b AS (SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month, count(*) AS n FROM silver GROUP BY 1)
+        SELECT event_month, a.n AS rows_before, coalesce(b.n, 0) AS rows_after, a.n = coalesce(b.n, 0) AS same
+        FROM a LEFT JOIN b USING (event_month)""",
+    "driver_event_checks": f"""WITH {BRONZE},
+        counted AS (
+            SELECT count(*) AS total, count(*) FILTER (WHERE event_id IS NULL) AS e,
+                count(*) FILTER (WHERE driver_id IS NULL) AS d FROM bronze
+        )
+        SELECT 'not_null' AS "check", 'driver_events' AS "table", 'event_id' AS "column", e AS violations, total FROM counted
+        UNION ALL SELECT 'not_null', 'driver_events', 'driver_id', d, total FROM counted""",
+    "date_range_violations": f"""{ONCE}
+        SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS events FROM silver
+        WHERE CAST(event_timestamp AS DATE) < DATE '1996-01-01' OR CAST(event_timestamp AS DATE) > DATE '{AS_OF}' GROUP BY 1""",
     "dq_summary": dq_summary(),
     "dq_violations": f"""{ONCE},
         broken AS (

@@ -472,14 +472,8 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks, on layers that are written once and then read by each check."""
-    base = work_dir(spark, "layers")
-    bind.bronze(spark, sf_dir).write.parquet(f"{base}/bronze")
-    bronze = spark.read.parquet(f"{base}/bronze")
-    silver.to_silver(bronze).write.parquet(f"{base}/silver")
-    rides = spark.read.parquet(f"{base}/silver")
-    models = {name: model(rides) for name, model in medallion.GOLD_MODELS.items()}
-    return medallion.quality_summary(bronze, {"stg_rides": rides} | models)
+    """All declared checks; those of rows are counted while the layers are written."""
+    return medallion.written_summary(bind.bronze(spark, sf_dir), work_dir(spark, "layers"))
 
 
 @query
@@ -543,6 +537,30 @@ def id_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.id_difference(bind.bronze(spark, sf_dir), bind.silver(spark, sf_dir), "event_id")
 
 
+@query
+def stage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per month, whether deduplication changed the log, by digests of its rows."""
+    month = F.to_date(F.date_trunc("month", "event_timestamp"))
+    typed = _typed(spark, sf_dir).withColumn("event_month", month)
+    once = bind.silver(spark, sf_dir).withColumn("event_month", month)
+    return quality.stage_changes(typed, once, "event_month", "event_id", "ride_id", "event_type")
+
+
+@query
+def driver_event_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared checks of driver events: those that carry a driver, and requests, which have none yet."""
+    log = bind.bronze(spark, sf_dir).select("event_id", "driver_id")
+    return quality.summarise_rows(log, "driver_events", quality.driver_event_checks())
+
+
+@query
+def date_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events outside of the dates that a report covers."""
+    check = quality.date_range_check("event_date", "1996-01-01", AS_OF)
+    dated = bind.silver(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp"))
+    return quality.violations(dated, check).groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = bind.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

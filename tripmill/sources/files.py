@@ -90,16 +90,16 @@ def write_extract(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_partitioned(df: DataFrame, path: str, date: str, sort_by: tuple[str, ...] = ()) -> None:
-    """Parquet in one folder per date; rewrites the dates that occur in the data and no others.
-
-    Rows are rebalanced by date: small dates share a task, a date with much of the data is split.
-    """
+def rebalanced(df: DataFrame, date: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows by date: small dates share a task, a date with much of the data is split."""
     out = df.hint("rebalance", F.col(date))
-    if sort_by:
-        out = out.sortWithinPartitions(date, *sort_by)
+    return out.sortWithinPartitions(date, *sort_by) if sort_by else out
+
+
+def write_partitioned(df: DataFrame, path: str, date: str, sort_by: tuple[str, ...] = ()) -> None:
+    """Parquet in one folder per date; rewrites the dates that occur in the data and no others."""
     (
-        out.write.mode("overwrite")
+        rebalanced(df, date, sort_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date)
         .parquet(path)
