@@ -61,9 +61,10 @@ def test_replay_and_rollups_aggregate_before_the_shuffle(stored):
 
 
 def test_no_python_in_batch_plans(spark, sf_dir):
-    streams = {"window_5min_stream", "stream_dedup", "landing", "landing_rejects", "stream_rides_current"}
+    streams = {"window_5min_stream", "stream_dedup", "landing", "landing_rejects", "stream_rides_current", "landing_compacted", "stream_progress"}
     writes = {"ride_state_upsert", "ride_delete", "parquet_roundtrip", "ndjson_roundtrip", "dq_summary", "fact_rides_star", "ride_by_id",
-              "event_history", "rides_by_status", "layer_rebuild", "build_rejects", "layer_retention", "registered_partitions"}
+              "event_history", "rides_by_status", "layer_rebuild", "build_rejects", "layer_retention", "registered_partitions",
+              "unseen_by_bitmaps", "gold_by_increments"}
     for name in set(QUERIES) - streams - writes:
         text = plan(QUERIES[name](spark, sf_dir))
         physical = text[text.index("== Physical Plan =="):]

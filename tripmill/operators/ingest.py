@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions.events import blank_to_null, event_time, iso_text, present
+from tripmill.functions.events import blank_to_null, event_time, iso_text, lookup, present
 from tripmill.functions.geo import in_latitude, in_longitude
 from tripmill.schemas import (
     CORRUPT,
     DATA_NUMBERS,
     DATA_TEXT,
     ENVELOPE,
-    EVENT_DATA,
     EVENT_TYPES,
     MESSAGE,
 )
@@ -51,11 +50,10 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
     JSON object.
     """
     nested = "data" in events.columns
-    # The keys are NULL where the text is no JSON object.
+    # One parse to the texts of all fields; NULL where the text is no JSON object.
     step = events
     if nested:
-        parsed = F.struct(F.from_json("data", EVENT_DATA).alias("fields"), F.json_object_keys("data").alias("keys"))
-        step = events.withColumn("_p", once(parsed)).withColumns({"_d": F.col("_p.fields"), "_keys": F.col("_p.keys")})
+        step = events.withColumn("_d", once(F.from_json("data", "map<string,string>")))
 
     def text(name: str) -> Column:
         options = [F.col(name)] if name in events.columns else []
@@ -72,7 +70,7 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
         fallback = F.coalesce(number(pickup), number(dropoff))
         if not nested:
             return F.coalesce(number(own), fallback)
-        named = F.coalesce(F.array_contains("_keys", own), F.lit(False))
+        named = F.coalesce(F.map_contains_key("_d", own), F.lit(False))
         return F.coalesce(number(own), F.when(~named, fallback))
 
     metres = F.when(
@@ -96,11 +94,49 @@ def flatten(events: DataFrame, *, trip_columns: bool = False, keep: tuple[str, .
         columns |= {name: number(name) for name in TRIP_COLUMNS}
         columns |= {"cancel_reason": F.col("_t_reason"), "currency": F.col("_t_currency")}
     columns["bad_numbers"] = F.array_compact(F.array(*bad))
-    unreadable = present(F.col("data")) & F.col("_keys").isNull() if nested else F.lit(False)
+    unreadable = present(F.col("data")) & F.col("_d").isNull() if nested else F.lit(False)
     columns["bad_data"] = F.coalesce(unreadable, F.lit(False))
     return step.select(*keep, *[c.alias(name) for name, c in columns.items()])
 
 
+# How the types of a parsed payload are told apart in a report.
+KINDS = {"STRING": "text", "BIGINT": "number", "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number", "BOOLEAN": "boolean",
+         "OBJECT": "object", "ARRAY": "array", "VOID": "null"}
+
+
+def payload_fields(messages: DataFrame, *keep: str, payload: str = "data") -> DataFrame:
+    """A row per field of each payload, with its name and kind. Each payload is parsed once, to a VARIANT.
+
+    Text that is no JSON object has one row with the field NULL and the kind `unreadable`, or `missing` where it is NULL.
+    """
+    parsed = messages.select(*keep, once(F.try_parse_json(payload)).alias("_v"), F.col(payload).isNull().alias("_none"))
+    is_object = F.coalesce(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), F.lit(False))
+    objects = F.when(is_object, F.col("_v"))
+    rows = parsed.lateralJoin(messages.sparkSession.tvf.variant_explode_outer(objects.outer()))
+    found = lookup(F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0), KINDS)
+    kind = F.when(F.col("_none"), "missing").when(~is_object, "unreadable").otherwise(F.coalesce(found, F.lit("other")))
+    return rows.filter(~is_object | F.col("key").isNotNull()).select(*keep, F.col("key").alias("field"), kind.alias("kind"))
+
+
+def payload_drift(messages: DataFrame, period: str, by: str, *more: str, payload: str = "data") -> DataFrame:
+    """Which fields of which kind payloads carry, since which period and until when, and what was new by then.
+
+    A field is `new` if it, or its kind, first came after the first period of its group; `gone` if the last period lacks it.
+    """
+    by = (by, *more)
+    fields = payload_fields(messages, period, *by, payload=payload)
+    seen = fields.groupBy(*by, "field", "kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(period).alias("first_seen"), F.max(period).alias("last_seen")
+    )
+    # A row per field and kind: the report is small, whatever the log.
+    group = Window.partitionBy(*by)
+    return seen.select(
+        *by, "field", "kind", "rows", "first_seen", "last_seen",
+        (F.col("first_seen") > F.min("first_seen").over(group)).alias("is_new"),
+        (F.col("last_seen") < F.max("last_seen").over(group)).alias("is_gone"),
+    )
+
+
 def nest(events: DataFrame, keep: tuple[str, ...] = ENVELOPE) -> DataFrame:
     """Fold every column outside the envelope into a JSON `data` text; NULLs are left out."""
     rest = [c for c in events.columns if c not in keep]

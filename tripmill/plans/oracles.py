@@ -11,6 +11,7 @@ from tripmill.plans.queries import (
     LINE_KEY,
     LINE_ORDER,
     PII_SALT,
+    REDELIVERED_FROM,
     RETENTION_DAYS,
     SUMMARY_DAYS,
 )
@@ -445,6 +446,40 @@ def dq_summary() -> str:
 
 PLACES = ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")
 
+LANDED = f"""WITH {MESSAGES}
+    SELECT CAST(event_id AS VARCHAR) AS event_id, 'r' || event_id AS ride_id, kind AS event_type,
+        CAST(user_id AS VARCHAR) AS driver_id, fare AS fare_cents,
+        CAST(trunc(km * 1000) AS BIGINT) AS distance_meters, surge AS surge_multiplier,
+        CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+        CAST(day(ts) AS INTEGER) AS day
+    FROM valid"""
+
+PAYLOAD_FIELDS = {
+    "passenger_id": ("text", "rider_id IS NOT NULL"),
+    "driver_id": ("text", "driver_id IS NOT NULL"),
+    "latitude": ("number", "event_type = 'gps_update'"),
+    "longitude": ("number", "event_type = 'gps_update'"),
+    **{name: ("number", "event_type = 'ride_requested'") for name in PLACES},
+    "fare_cents": ("number", "event_type = 'ride_completed'"),
+    "distance_km": ("number", "event_type = 'ride_completed'"),
+    "surge_multiplier": ("number", "event_type = 'ride_completed'"),
+    "reason": ("text", "cancel_reason IS NOT NULL"),
+}
+
+
+def payload_drift() -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT event_type, substr("timestamp", 1, 7) AS m, '{field}' AS field, '{kind}' AS kind FROM bronze WHERE {there}"""
+        for field, (kind, there) in PAYLOAD_FIELDS.items()
+    )
+    return f"""WITH {BRONZE}, fields AS ({parts}),
+    seen AS (
+        SELECT event_type, field, kind, count(*) AS rows, min(m) AS first_seen, max(m) AS last_seen FROM fields GROUP BY ALL)
+    SELECT *, first_seen > min(first_seen) OVER (PARTITION BY event_type) AS is_new,
+        last_seen < max(last_seen) OVER (PARTITION BY event_type) AS is_gone
+    FROM seen"""
+
+
 ORACLES: dict[str, str] = {
     "silver_rides": f"{ONCE} SELECT {SILVER_LIST} FROM silver",
     "silver_rides_by_ts": f"WITH {SILVER_BY_TS} SELECT {SILVER_LIST} FROM silver",
@@ -504,6 +539,14 @@ ORACLES: dict[str, str] = {
         SELECT CAST(event_timestamp AS DATE) AS trip_date, count(*) AS trips,
             {total("fare_cents")} AS total_fare_cents, {MEAN_KM} AS avg_distance_km
         FROM done GROUP BY ALL""",
+    "gold_by_increments": f"""WITH {SILVER_BY_TS}
+        SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS period,
+            count(*) FILTER (event_type = 'ride_completed') AS rides,
+            CAST(sum(fare_cents) FILTER (event_type = 'ride_completed') AS BIGINT) AS fare_cents,
+            CAST(sum(distance_meters) FILTER (event_type = 'ride_completed') AS BIGINT) AS distance_meters,
+            count(DISTINCT driver_id) FILTER (event_type = 'ride_completed') AS drivers,
+            count(DISTINCT rider_id) FILTER (event_type = 'ride_completed') AS riders
+        FROM silver GROUP BY 1""",
     "fact_trip": f"""WITH {OUTCOMES}
         SELECT {short_key("ride_id")} AS trip_key, ride_id AS trip_id, done.rider_id, done.driver_id,
             started_at, completed_at, CAST(seconds AS INTEGER) AS duration_seconds,
@@ -632,6 +675,10 @@ ORACLES: dict[str, str] = {
     "unseen_events": f"""WITH {BRONZE}
         SELECT DISTINCT event_id, ride_id, event_type, "timestamp" FROM bronze
         WHERE event_type <> 'ride_requested'""",
+    "unseen_by_bitmaps": f"""WITH {BRONZE}
+        SELECT DISTINCT event_id, ride_id, event_type, "timestamp" FROM bronze
+        WHERE event_timestamp >= TIMESTAMP '{CHANGE_CUT}' AND event_timestamp >= TIMESTAMP '{REDELIVERED_FROM}'""",
+    "payload_drift": payload_drift(),
     "trip_distance_by_driver": f"""WITH {TRIPS}
         SELECT driver_id, count(*) AS trips, {cents("sum(line100)")} AS straight_km,
             {cents("max(line100)")} AS longest_km FROM lines GROUP BY driver_id""",
@@ -759,16 +806,15 @@ ORACLES: dict[str, str] = {
     "window_5min_metrics": WINDOWS,
     "window_5min_stream": WINDOWS,
     "stream_dedup": "SELECT * FROM events",
+    "stream_progress": """
+        SELECT 'dedup' AS query, CAST(1 AS BIGINT) AS batches, count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_late,
+            date_trunc('milliseconds', max(CAST(ts AS TIMESTAMP))) - INTERVAL 10 MINUTE AS watermark
+        FROM events""",
     "late_events": f"""WITH {ARRIVALS}
         SELECT event_id, ts, arrived_at, CAST(user_id % 20 * 60 AS DOUBLE) AS lateness_seconds
         FROM arrivals WHERE user_id % 20 > 10""",
-    "landing": f"""WITH {MESSAGES}
-        SELECT CAST(event_id AS VARCHAR) AS event_id, 'r' || event_id AS ride_id, kind AS event_type,
-            CAST(user_id AS VARCHAR) AS driver_id, fare AS fare_cents,
-            CAST(trunc(km * 1000) AS BIGINT) AS distance_meters, surge AS surge_multiplier,
-            CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
-            CAST(day(ts) AS INTEGER) AS day
-        FROM valid""",
+    "landing": LANDED,
+    "landing_compacted": LANDED,
     "landing_rejects": f"""WITH {MESSAGES}
         SELECT CASE WHEN event_type <> 'view' THEN CAST(event_id AS VARCHAR) END AS event_id,
             CASE WHEN event_type = 'error' THEN 'r' || event_id END AS ride_id,

@@ -15,8 +15,10 @@ from tripmill.operators import (
     facts,
     gold,
     history,
+    increments,
     ingest,
     lifecycle,
+    membership,
     pricing,
     quality,
     silver,
@@ -25,11 +27,12 @@ from tripmill.operators import (
 from tripmill.plans import bindings as bind
 from tripmill.plans import medallion
 from tripmill.session import kept, plain_times, work_dir
-from tripmill.sources import files, tables
+from tripmill.sources import compaction, files, tables
 from tripmill.sources.bucketed import BucketedTable
 from tripmill.streaming import events as stream_events
 from tripmill.streaming import lifecycle as stream_lifecycle
 from tripmill.streaming import metrics as stream_metrics
+from tripmill.streaming import progress as stream_progress_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +41,9 @@ AS_OF = "2001-08-02"
 SUMMARY_DAYS = 30
 RETENTION_DAYS = 730
 CHANGE_CUT = "1998-01-01"
+REDELIVERED_FROM = "1997-07-01"
+INCREMENT_CUTS = ("1995-01-01", "1997-01-01")
+LANDING_BATCHES = 8
 STREAM_FILES = 4
 PII_SALT = "pepper"
 
@@ -179,6 +185,22 @@ def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.pipeline_summary(bind.silver(spark, sf_dir))
 
 
+@query
+def gold_by_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly gold from daily parts after three increments: the early log, the latest one, then the one between.
+
+    Some events of the first increment's days come late, with the last one.
+    """
+    typed = kept(silver.type_events(bind.bronze(spark, sf_dir)), "typed")
+    store = increments.DailyGold(spark, work_dir(spark, "gold")).create()
+    first, second = (F.lit(c).cast("timestamp") for c in INCREMENT_CUTS)
+    at, late = F.col("event_timestamp"), F.col("ride_id").cast("bigint") % 50 == 0
+    store.apply(typed.filter((at < first) & ~late))
+    store.apply(typed.filter(at >= second))
+    store.apply(typed.filter((at >= first) & (at < second) | (at < first) & late))
+    return store.report("month")
+
+
 @query
 def trips_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.trips_daily(bind.silver(spark, sf_dir))
@@ -343,6 +365,27 @@ def unseen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.unseen(log, seen, "event_id", ["timestamp", "ride_id", "event_type"])
 
 
+@query
+def unseen_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events from a day on whose id did not come before it: the history is kept by year, with bitmaps."""
+    log = kept(bind.bronze(spark, sf_dir).select("event_id", "ride_id", "event_type", "timestamp"), "bronze")
+    path = work_dir(spark, "seen")
+    history = membership.SeenIds(spark, path, bits=membership.bits_for(log.count())).create()
+    before = log.filter(F.col("timestamp") < CHANGE_CUT).withColumn("year", F.substring("timestamp", 1, 4).cast("int"))
+    # One year per batch comes to the driver.
+    for (year,) in sorted(before.select("year").distinct().collect()):
+        history.remember(before.filter(F.col("year") == year), "event_id", year)
+    arrived = log.filter(F.col("timestamp") >= REDELIVERED_FROM)
+    return history.unseen(arrived, "event_id", ["timestamp", "ride_id", "event_type"])
+
+
+@query
+def payload_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the payloads by event type, with the months since and until which they come."""
+    month = F.substring("timestamp", 1, 7)
+    return ingest.payload_drift(bind.domain_messages(spark, sf_dir).withColumn("month", month), "month", "event_type")
+
+
 # Pricing
 
 
@@ -713,12 +756,36 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the recorded progress tells of a stream that removes redelivered events."""
+    path, name = work_dir(spark, "progress"), f"dedup_{uuid.uuid4().hex}"
+    listener = stream_progress_table.ProgressTable(spark, path, {name})
+    once = stream_events.drop_redelivered(_event_stream(spark, sf_dir), ts="ts")
+    writer = once.writeStream.format("parquet").queryName(name).option("path", work_dir(spark, "events"))
+    spark.streams.addListener(listener)
+    try:
+        run = stream_events.run_available(writer.option("checkpointLocation", work_dir(spark, "offsets")))
+        if not listener.wait_for(run):
+            raise TimeoutError("the progress of the stream was not reported")
+    finally:
+        spark.streams.removeListener(listener)
+    told = stream_progress_table.freshness(stream_progress_table.read_progress(spark, path))
+    return told.withColumn("query", F.regexp_extract("query", "^[a-z]+", 0))
+
+
 @query
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_events.late_rows(_arrivals(bind.table(spark, sf_dir, "events")), "ts", "arrived_at")
     return rows.select("event_id", "ts", "arrived_at", "lateness_seconds")
 
 
+LANDED = (
+    "event_id", "ride_id", "event_type", "driver_id", "fare_cents", "distance_meters", "surge_multiplier",
+    "year", "month", "day",
+)
+
+
 @query
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid messages of a stream as compressed JSON files in dated folders, read back."""
@@ -726,10 +793,19 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "landing")
     stream_events.run_available(stream_events.land_valid(messages, path, work_dir(spark, "offsets")))
     landed = files.read_ndjson(spark, path).drop(schemas.CORRUPT)
-    return landed.select(
-        "event_id", "ride_id", "event_type", "driver_id", "fare_cents", "distance_meters",
-        "surge_multiplier", "year", "month", "day",
-    )
+    return landed.select(*LANDED)
+
+
+@query
+def landing_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed in eight batches of small files, packed by size into few, read back."""
+    source, path, out = (work_dir(spark, name) for name in ("events", "landing", "archive"))
+    events = bind.table(spark, sf_dir, "events")
+    events.repartition(LANDING_BATCHES, "event_id").write.parquet(source)
+    messages = bind.ride_messages(files.stream_files(spark, source, events.schema, max_files=1))
+    stream_events.run_available(stream_events.land_valid(messages, path, work_dir(spark, "offsets")))
+    compaction.compact_lines(spark, path, out, ["year", "month", "day"])
+    return files.read_ndjson(spark, out).select(*LANDED)
 
 
 @query
