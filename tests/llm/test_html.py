@@ -144,3 +144,34 @@ def test_query_matches_the_written_articles(spark, sf_dir):
         parts = [" ".join(unescape(re.sub("<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", inner)]
         want = "\n".join(p for p in parts if p)
         assert got[key]["text"] == want and got[key]["n_chars"] == len(want)
+
+
+def told(i):
+    return f"Story {i} begins here and goes on for a while, as long as {i * 31} words or so."
+
+
+@pytest.mark.parametrize("n", [12, 40])
+@pytest.mark.parametrize("closing", ["<section class=closing><p>{}</p></section>", "<div><p>{}</p></div>", "<p>{}</p>", "<div class='content last'><p>{}</p></div>"])
+def test_a_repeated_heading_and_a_short_section_beside_stay(spark, n, closing):
+    end = lambda i: f"Told on day {i}."
+    got = texts_of(spark, tagless(n, lambda i: f"<div class=content><h2>Summary</h2><p>{told(i)}</p></div>" + closing.format(end(i))))
+    assert got == {i: f"Summary\n{told(i)}\n{end(i)}" for i in range(n)}
+
+
+def test_a_repeated_heading_within_a_section_beside_stays(spark):
+    got = texts_of(
+        spark,
+        tagless(20, lambda i: f"<section><h2>Summary</h2><p>{told(i)}</p></section><section><h2>Sources</h2><ul><li>Book {i}</li></ul></section>"),
+    )
+    assert got == {i: f"Summary\n{told(i)}\nSources\nBook {i}" for i in range(20)}
+
+
+def test_repeated_texts_right_in_the_body_stay_only_between_varying_ones(spark):
+    rows = [(i, f"http://h/{i}", f"<body><p>Home</p><p>{told(i)}</p><h2>More</h2><p>It ends {i}.</p><p>All rights</p></body>", None, None) for i in range(20)]
+    assert texts_of(spark, rows) == {i: f"{told(i)}\nMore\nIt ends {i}." for i in range(20)}
+
+
+def test_a_menu_within_the_main_element_is_left_out(spark):
+    menu = "<div class=tabs><p>First tab</p><p>Second tab</p></div>"
+    got = texts_of(spark, tagless(20, lambda i: f"<div class=page>{menu}<div class=a><p>{told(i)}</p></div><div class=b><p>{told(i + 100)}</p></div></div>"))
+    assert got == {i: f"{told(i)}\n{told(i + 100)}" for i in range(20)}

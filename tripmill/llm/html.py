@@ -9,7 +9,8 @@ order, and one that changes places within its class is no template. What is left
 between pages. Slots nest by the paths of their elements: text counts for its element and all around it.
 
 The article is the innermost element of the template that holds nearly all (MAIN_SHARE) of the varying text of
-its pages, with all slots in it. Elements whose names or classes say that they are menus, footers, forms,
+its pages, with all slots in it, the texts that repeat in the same elements as its slots, and varying sections
+beside it. Elements whose names or classes say that they are menus, footers, forms,
 adverts, comments and the like are left out before, wherever they lie. Hosts with few pages have no template;
 there, and on pages without that element, it is chosen by the text of the page alone.
 
@@ -227,19 +228,56 @@ def weights(blocks: list[Block]) -> Counter:
     return sizes
 
 
+def main_path(varying: list[Block], main: int | None) -> str | None:
+    """Path of the main element; on a page without it, of the innermost element that holds nearly all varying text."""
+    paths = {p for b in varying for p in prefixes(b.container)}
+    if main is not None:
+        for p in paths:
+            if token("path", p) == main:
+                return p
+    sizes = weights(varying)
+    whole = sum(len(b.text) for b in varying)
+    held = [p for p in sizes if sizes[p] >= MAIN_SHARE * whole]
+    return max(held, key=lambda p: (p.count("/"), sizes[p], p)) if held else None
+
+
+def beside(container: str, best: str) -> bool:
+    """Whether an element next to the main one is a part of the article.
+
+    That holds for a `section`, for text right in their common parent, and for an element that has no class
+    of its own or one of the main element's; in the body itself only for a `section`.
+    """
+    parent, _, own = best.rpartition("/")
+    if not parent or not (container == parent or container.startswith(parent + "/")):
+        return False
+    label = container[len(parent) + 1 :].split("/")[0]
+    name, *marks = label.split(".")
+    if name == "section":
+        return True
+    if parent.rpartition("/")[2].split(".")[0] in ("body", "html"):
+        return False
+    return not marks or bool(set(marks) & set(own.split(".")[1:]))
+
+
 def slots_of(blocks: list[Block], template_texts: set[int], main: int | None) -> list[Block]:
-    """Blocks in the slots of the main element; on a page without it, in the element of most text there."""
-    varying = [b for b in blocks if token("text", b.path, b.text) not in template_texts]
-    inside = [b for b in varying if main is not None and any(token("path", p) == main for p in prefixes(b.container))]
-    if not inside and varying:
-        sizes = weights(varying)
-        whole = sum(len(b.text) for b in varying)
-        held = [p for p in sizes if sizes[p] >= MAIN_SHARE * whole]
-        if not held:
-            return varying
-        best = max(held, key=lambda p: (p.count("/"), sizes[p], p))
-        inside = [b for b in varying if best in prefixes(b.container)]
-    return inside
+    """Blocks in the slots of the main element, with the sections of the article beside it.
+
+    A text that repeats over the host's pages stays where its element also has varying text of this page, such as a
+    heading that every article has; right in the body only between varying texts.
+    """
+    varies = [token("text", b.path, b.text) not in template_texts for b in blocks]
+    varying = [b for b, v in zip(blocks, varies) if v]
+    best = main_path(varying, main)
+    if best is None:
+        return varying
+    slot = {b.container for b in varying if best in prefixes(b.container) or beside(b.container, best)}
+    at = [i for i, (b, v) in enumerate(zip(blocks, varies)) if v and b.container in slot]
+    in_body = {c for c in slot if c.rpartition("/")[2].split(".")[0] in ("body", "html", "")}
+    return [
+        b
+        for i, (b, v) in enumerate(zip(blocks, varies))
+        if b.container in slot and (v or b.container not in in_body or at[0] < i < at[-1])
+    ]
 
 
 def main_text(html: str | None, template_texts: set[int], main: int | None) -> str:
