@@ -328,7 +328,9 @@ def classes_of(pages: DataFrame) -> DataFrame:
     )
     counted = stored(counted, "tokens")
     sizes = counted.filter("token = 0").select("host", F.col("pages").alias("all_pages")).filter(F.col("all_pages") >= MIN_PAGES)
-    valid = counted.filter("token != 0").join(sizes, "host").filter(F.col("pages") >= F.col("all_pages") * SHARE)
+    # Tokens on too few pages for the smallest host are no template anywhere; they are most of a host's tokens.
+    often = counted.filter((F.col("token") != 0) & (F.col("pages") >= MIN_PAGES * SHARE))
+    valid = often.join(sizes, "host").filter(F.col("pages") >= F.col("all_pages") * SHARE)
     listed = F.collect_list(F.struct("token", "is_text", F.xxhash64("vector", "pages").alias("group")))
     return valid.groupBy("host").agg(listed.alias("l")).select(
         "host", F.col("l.token").alias("tokens"), F.col("l.is_text").alias("kinds"), F.col("l.group").alias("groups")
