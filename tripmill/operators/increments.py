@@ -38,10 +38,14 @@ def _ids(rows: DataFrame, *keep: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class DailyGold:
-    """The stored events, id numbers and parts under a folder. One writer at a time."""
+    """The stored events, id numbers and parts under a folder. One writer at a time.
+
+    `part` is the span that a part covers and that is rewritten as a whole: a day, or a longer one where days are small.
+    """
 
     spark: SparkSession
     path: str
+    part: str = "day"
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
@@ -80,7 +84,7 @@ class DailyGold:
         Events without a time belong to no day and are left out. The same increment again changes nothing.
         """
         names = [c for c in (f.split()[0] for f in EVENTS.split(", ")) if c != DAY]
-        dated = events.select(*names, F.to_date("event_timestamp").alias(DAY)).filter(F.col(DAY).isNotNull())
+        dated = events.select(*names, F.to_date(F.date_trunc(self.part, "event_timestamp")).alias(DAY)).filter(F.col(DAY).isNotNull())
         added = kept(dated, "increment")
         # One date per touched day comes to the driver.
         days = sorted(r[0] for r in added.select(DAY).distinct().collect())

@@ -187,12 +187,12 @@ def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_by_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly gold from daily parts after three increments: the early log, the latest one, then the one between.
+    """Monthly gold from parts by month after three increments: the early log, the latest one, then the one between.
 
-    Some events of the first increment's days come late, with the last one.
+    Some events of the first increment's months come late, with the last one.
     """
     typed = kept(silver.type_events(bind.bronze(spark, sf_dir)), "typed")
-    store = increments.DailyGold(spark, work_dir(spark, "gold")).create()
+    store = increments.DailyGold(spark, work_dir(spark, "gold"), part="month").create()
     first, second = (F.lit(c).cast("timestamp") for c in INCREMENT_CUTS)
     at, late = F.col("event_timestamp"), F.col("ride_id").cast("bigint") % 50 == 0
     store.apply(typed.filter((at < first) & ~late))
