@@ -14,6 +14,7 @@ from tripmill.plans.queries import (
     REDELIVERED_FROM,
     RETENTION_DAYS,
     SUMMARY_DAYS,
+    VIEW_FROM,
 )
 
 
@@ -710,6 +711,7 @@ ORACLES: dict[str, str] = {
     "lifecycle_violations_by_ts": violations(SILVER_BY_TS),
     "rides_current": CURRENT,
     "stream_rides_current": CURRENT,
+    "stream_restart": CURRENT,
     "rides_in_error": f"WITH {REPLAYED} SELECT ride_id, error FROM replayed WHERE error IS NOT NULL",
     "rides_by_status": f"""WITH {REPLAYED},
         lines AS (
@@ -797,6 +799,24 @@ ORACLES: dict[str, str] = {
     "retention": f"""{ONCE}
         SELECT event_id, ride_id, event_type, CAST(event_timestamp AS DATE) AS event_date FROM silver
         WHERE CAST(event_timestamp AS DATE) >= DATE '{AS_OF}' - {RETENTION_DAYS}""",
+    "event_append": f"""WITH {BRONZE}
+        SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month, event_type, count(*) AS events,
+            count(DISTINCT event_id) AS ids
+        FROM bronze GROUP BY ALL""",
+    "file_lineage": f"""WITH {BRONZE}
+        SELECT CAST(year(event_timestamp) AS VARCHAR) AS batch, count(*) AS events, count(*) AS in_place, CAST(1 AS BIGINT) AS loads
+        FROM bronze GROUP BY 1""",
+    "load_stamps": f"""{ONCE}, layers AS (
+            SELECT 'stg_rides' AS layer, count(*) AS rows FROM silver
+            UNION ALL SELECT 'stg_metrics', count(*) FROM ({HOURLY})
+            UNION ALL SELECT 'rides_summary', count(*) FROM ({SUMMARY})
+            UNION ALL SELECT 'driver_metrics', count(*) FROM ({DRIVERS})
+            UNION ALL SELECT 'passenger_metrics', count(*) FROM ({PASSENGERS}))
+        SELECT layer, rows, CAST(0 AS BIGINT) AS unstamped FROM layers""",
+    "silver_view": f"""{ONCE}
+        SELECT CAST(year(event_timestamp) AS INTEGER) AS event_year, event_type, count(*) AS events, count(DISTINCT ride_id) AS rides
+        FROM silver WHERE year(event_timestamp) >= {VIEW_FROM} GROUP BY ALL""",
+    "gold_extract": ONCE + DRIVERS,
     "parquet_roundtrip": f"""{ONCE}
         SELECT event_type, count(*) AS events, {total("fare_cents")} AS total_cents
         FROM silver WHERE fare_cents >= 0 GROUP BY event_type""",

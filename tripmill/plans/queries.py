@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -681,12 +682,77 @@ def registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
 
 
+VIEW_FROM = 1996
+VIEW_SQL = """
+    SELECT year(event_timestamp) AS event_year, event_type, count(*) AS events, count(DISTINCT ride_id) AS rides
+    FROM {view} WHERE year(event_timestamp) >= :first GROUP BY ALL
+"""
 BY_TYPE_SQL = """
     SELECT event_type, count(*) AS events, sum(fare_cents) AS total_cents
     FROM {table} WHERE fare_cents >= :least GROUP BY event_type
 """
 
 
+@query
+def event_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log appended to the event store in two parts, in folders by month, read back."""
+    path = work_dir(spark, "store")
+    month = F.to_date(F.trunc(F.to_date(F.substring("timestamp", 1, 10)), "month"))
+    log = kept(bind.bronze(spark, sf_dir).select("event_id", "ride_id", "event_type", "timestamp"), "bronze")
+    log = log.withColumn("event_month", month)
+    for part in (F.col("timestamp") < CHANGE_CUT, F.col("timestamp") >= CHANGE_CUT):
+        files.append_events(files.rebalanced(log.filter(part), "event_month"), path, ("event_month",))
+    return spark.read.parquet(path).groupBy("event_month", "event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")
+    )
+
+
+@query
+def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON lines with the file that each row came from and its load time, counted by landing folder."""
+    path = work_dir(spark, "landed")
+    log = bind.bronze(spark, sf_dir).select(*schemas.BRONZE.names)
+    log.withColumn("batch", F.substring("timestamp", 1, 4)).hint("rebalance", F.col("batch")).write.partitionBy("batch").json(path)
+    rows = ingest.with_lineage(files.read_ndjson(spark, path))
+    named = rows.withColumn("batch", F.regexp_extract("_source_file", "/batch=([0-9]+)/", 1))
+    return named.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.substring("timestamp", 1, 4) == F.col("batch")).alias("in_place"),
+        F.countDistinct("_loaded_at").alias("loads"),
+    )
+
+
+@query
+def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each built layer, and how many of them have no load stamp or one from before the build."""
+    base, log = work_dir(spark, "layers"), bind.bronze(spark, sf_dir)
+    before = spark.range(1).select(F.current_timestamp()).first()[0]
+    built = medallion.build(spark, log, base, "month")
+    names = ("stg_rides", "stg_metrics", "rides_summary", "driver_metrics", "passenger_metrics")
+    parts = [built[name].select(F.lit(name).alias("layer"), "_loaded_at") for name in names]
+    return reduce(DataFrame.unionByName, parts).groupBy("layer").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_loaded_at").isNull() | (F.col("_loaded_at") < F.lit(before))).alias("unstamped"),
+    )
+
+
+@query
+def silver_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver under a name of its own, read with SQL."""
+    name = f"silver_{uuid.uuid4().hex}"
+    tables.register_view(bind.silver(spark, sf_dir), name)
+    return tables.run_sql(spark, VIEW_SQL.format(view=name), first=VIEW_FROM)
+
+
+@query
+def gold_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver metrics written as JSON lines for a dashboard, read back."""
+    metrics = gold.driver_metrics(bind.silver(spark, sf_dir))
+    path = work_dir(spark, "extract")
+    files.write_extract(metrics, path)
+    return spark.read.schema(metrics.schema).json(path)
+
+
 @query
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written as Parquet, declared as a table and read with SQL."""
@@ -830,6 +896,19 @@ def stream_rides_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_lifecycle.read_rides(spark, path, events.schema).filter(F.col("error").isNull()).drop("error")
 
 
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides of a stream that stops after half of the files, starts again with the rest, and once more with none."""
+    source, path, offsets = (work_dir(spark, name) for name in ("silver", "rides", "offsets"))
+    events = _stored_silver(spark, sf_dir)
+    for half in (0, 1, None):
+        if half is not None:
+            events.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).write.mode("append").parquet(source)
+        stream = files.stream_files(spark, source, events.schema)
+        stream_events.run_available(stream_lifecycle.write_rides(stream, path, offsets))
+    return stream_lifecycle.read_rides(spark, path, events.schema).filter(F.col("error").isNull()).drop("error")
+
+
 @query
 def demand_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests per grid cell and five minutes."""
