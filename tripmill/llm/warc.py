@@ -22,7 +22,6 @@ KEPT_HEADERS = (
     "connection content-encoding content-length content-range content-type keep-alive proxy-authenticate "
     "proxy-authentication-info proxy-authorization proxy-connection te trailer transfer-encoding upgrade"
 ).split()
-REVISIT_KEY = ["record_id", "uri", "captured"]
 URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^#]*)"
 
 
@@ -74,15 +73,14 @@ def same_validators(revisit_etag: Column, revisit_time: Column, etag: Column, ti
 
 
 def as_of(captures: DataFrame) -> DataFrame:
-    """(record_id, uri, captured, response) of each revisit: the latest earlier response of its URL, or null.
+    """(record_id, response) of each revisit: the latest earlier response of its URL, or null.
 
     `captures` has uri, captured, record_id, is_revisit and response, a struct with captured and
-    record_id first that is null for revisits. A response of the same instant is not earlier. Repeated rows
-    count once; they are put together before the shuffle.
+    record_id first that is null for revisits. A response of the same instant is not earlier.
     """
     # At one instant revisits sort before responses, so they do not see them.
     order = ["uri", "captured", F.col("is_revisit").cast("int").desc(), "record_id"]
-    ranged = captures.distinct().repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__range", F.spark_partition_id())
+    ranged = captures.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__range", F.spark_partition_id())
     kept = stored(ranged, "captures")
     seen = Window.partitionBy("__range", "uri").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = kept.withColumn("__found", F.last("response", ignorenulls=True).over(seen)).filter("is_revisit")
@@ -91,13 +89,19 @@ def as_of(captures: DataFrame) -> DataFrame:
     before = Window.partitionBy("uri").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select("uri", "__range", F.last("__last", ignorenulls=True).over(before).alias("__carried"))
     return inside.join(carried.filter("__carried IS NOT NULL"), ["uri", "__range"], "left").select(
-        *REVISIT_KEY, F.coalesce("__found", "__carried").alias("response")
+        "record_id", F.coalesce("__found", "__carried").alias("response")
     )
 
 
-def once(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key; Spark applies the limit on each partition before the shuffle."""
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+def has_repeats(rows: DataFrame) -> bool:
+    """Whether a record_id occurs twice; one row at most comes to the driver."""
+    ids = rows.filter("record_id IS NOT NULL").groupBy("record_id").agg(F.count("*").alias("n"))
+    return bool(ids.filter("n > 1").take(1))
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """The earliest row of each record_id; Spark applies the limit on each partition before the shuffle."""
+    first = F.row_number().over(Window.partitionBy("record_id").orderBy("captured", "uri", "status"))
     return rows.withColumn("__n", first).filter("__n = 1").drop("__n")
 
 
@@ -105,8 +109,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, uri, captured, resolution, response_id, headers, payload.
 
     `records` has record_id, uri, captured (seconds), status, headers and payload; other columns are ignored.
-    Repeated records count once: revisits with the same record_id, uri and captured, and responses with the same
-    record_id, of which the earliest gives headers and payload. A response without record_id is none. Status 304 is a revisit; a full response is status 200 with a payload. resolution is
+    Records with the same record_id count once, as the earliest of them; a table that has such is stored without
+    them first. A record without record_id is no response, and as a revisit finds nothing. Status 304 is a revisit; a full response is status 200 with a payload. resolution is
     `resolved`; `unverified`, if no validator compares; `changed`, if they differ; or `no_response`.
     Only the first two have a payload and merged headers. Records without URL or time resolve nothing, and
     as revisits find nothing. Header names come out in lower case.
@@ -114,15 +118,17 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     base = records.select(
         "record_id", canonical(F.col("uri")).alias("uri"), "captured", "status", lowered(F.col("headers")).alias("headers"), "payload"
     ).withColumn("is_revisit", F.col("status") == 304)
-    known = F.col("uri").isNotNull() & F.col("captured").isNotNull()
-    full = (F.col("status") == 200) & F.col("payload").isNotNull() & F.col("record_id").isNotNull()
+    named = F.col("record_id").isNotNull()
+    if has_repeats(base):
+        base = stored(once(base.filter(named)).unionByName(base.filter(~named)), "records")
+    known = named & F.col("uri").isNotNull() & F.col("captured").isNotNull()
+    full = (F.col("status") == 200) & F.col("payload").isNotNull()
     validators = [F.element_at("headers", n).alias(a) for n, a in (("etag", "etag"), ("last-modified", "modified"))]
     response = F.struct("captured", "record_id", *validators)
     captures = base.filter(known & (F.col("is_revisit") | full)).select(
         "uri", "captured", "record_id", "is_revisit", F.when(~F.col("is_revisit"), response).alias("response")
     )
-    asked = once(base.filter("is_revisit"), REVISIT_KEY, [F.to_json("headers")])
-    revisits = asked.join(as_of(captures), REVISIT_KEY, "left")
+    revisits = base.filter("is_revisit").join(as_of(captures), "record_id", "left")
     same = same_validators(
         F.element_at("headers", "etag"), F.element_at("headers", "last-modified"), F.col("response.etag"), F.col("response.modified")
     )
@@ -131,7 +137,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.when(F.col("response").isNull(), "no_response").when(same, "resolved").when(~same, "changed").otherwise("unverified").alias("resolution"),
     )
     usable = F.when(F.col("resolution").isin("resolved", "unverified"), F.col("response_id"))
-    bodies = once(base.filter(full), ["record_id"], ["captured", "uri"]).select(
+    bodies = base.filter(full).select(
         F.col("record_id").alias("__id"), F.col("headers").alias("__headers"), F.col("payload").alias("payload")
     )
     return judged.withColumn("__use", usable).join(bodies, F.col("__use") == F.col("__id"), "left").select(
