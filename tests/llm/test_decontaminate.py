@@ -108,6 +108,35 @@ def test_basis_is_the_svd(spark, docs):
     assert np.allclose(1 / np.linalg.norm(directions, axis=0)[:10] ** 2, best[:10], rtol=0.15)
 
 
+def test_the_basis_is_fitted_on_all_documents(spark, docs, monkeypatch):
+    """However few documents FIT_DOCUMENTS names, the passages of all of them make the basis."""
+    items, texts, _ = made(3, 60)
+    known = dc.Benchmark([(i, " ".join(w), None) for i, w in items.items()])
+    coded = dc.encoded(docs(*texts.items()), known, "doc_id", "text")
+    monkeypatch.setattr(dc, "FIT_DOCUMENTS", 1 << 30)
+    whole = dc.latent_basis(coded, known)
+    monkeypatch.setattr(dc, "FIT_DOCUMENTS", 10)
+    assert np.allclose(dc.latent_basis(coded, known), whole, rtol=1e-3, atol=1e-3 * abs(whole).max())
+
+
+def test_a_sketch_is_the_product(spark, docs, monkeypatch):
+    """With frequent words multiplied as a matrix and the others row by row."""
+    monkeypatch.setattr(dc, "FREQUENT", 5)
+    items, texts, _ = made(3, 20)
+    known = dc.Benchmark([(i, " ".join(w), None) for i, w in items.items()])
+    coded = dc.encoded(docs(*texts.items()), known, "doc_id", "text")
+    rng = np.random.default_rng(1)
+    idf, test = np.maximum(rng.standard_normal(known.size), 0), rng.standard_normal((known.size, 7))
+    idf[0] = 0
+    rows = []
+    for r in coded.collect():
+        ids = np.frombuffer(r["ids"], "<i4")
+        for at in range(0, len(ids), dc.BLOCK * dc.PASSAGE_BLOCKS):
+            rows.append(np.bincount(ids[at : at + dc.BLOCK * dc.PASSAGE_BLOCKS], minlength=known.size) * idf)
+    matrix = np.array(rows)
+    assert np.allclose(dc.sketch(coded, idf, test), matrix.T @ (matrix @ test), rtol=1e-3, atol=1e-3)
+
+
 def test_answer_decides_for_partial_copies():
     words = [f"w{i}" for i in range(20)]
     known = dc.Benchmark([(1, " ".join(words), " ".join(words[-3:]))])
