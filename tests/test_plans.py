@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.operators import gold, ingest, lifecycle, silver, state
-from tripmill.plans import bindings, medallion
+from tripmill.plans import bindings, medallion, queries
 from tripmill.plans.oracles import ORACLES
 from tripmill.plans.queries import QUERIES
 from tripmill.session import work_dir
@@ -207,3 +207,14 @@ def test_ended_versions_and_gaps_match_nothing(spark):
     df = spark.createDataFrame([(i, *f) for i, f in enumerate(facts)], "ride_id int, driver_id string, at string").withColumn("at", F.to_date("at"))
     got = {r.ride_id: r.v for r in dims.scd2_lookup(df, dim, "driver_id", "at", "ride_id", ["v"]).collect()}
     assert got == {0: 1, 1: None, 2: 2, 3: None, 4: None, 5: None, 6: None}
+
+
+def test_tasks_of_the_log_follow_the_size_of_its_tables(spark, sf_dir, monkeypatch):
+    whole = bindings.rides(spark, sf_dir)
+    monkeypatch.setattr(bindings, "LOG_TASK_BYTES", 8 << 10)
+    tasks = bindings.log_tasks(spark, sf_dir)
+    spread = bindings.rides(spark, sf_dir)
+    text = plan(spread)
+    physical = text[text.index("== Physical Plan =="):]
+    assert tasks > 4 and len(re.findall(rf"hashpartitioning\([lo]_orderkey#\d+L, {tasks}\), REPARTITION_BY_NUM", physical)) == 2
+    assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect()))
