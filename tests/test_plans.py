@@ -218,3 +218,19 @@ def test_tasks_of_the_log_follow_the_size_of_its_tables(spark, sf_dir, monkeypat
     physical = text[text.index("== Physical Plan =="):]
     assert tasks > 4 and len(re.findall(rf"hashpartitioning\([lo]_orderkey#\d+L, {tasks}\), REPARTITION_BY_NUM", physical)) == 2
     assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_stream_files_follow_the_data_and_batches_do_not(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(bindings, "LOG_TASK_BYTES", 8 << 10)
+    seen, read = [], queries.files.stream_files
+
+    def watched(spark, path, schema, **options):
+        seen.append((len(spark.read.schema(schema).parquet(path).inputFiles()), options["max_files"]))
+        return read(spark, path, schema, **options)
+
+    monkeypatch.setattr(queries.files, "stream_files", watched)
+    got = QUERIES["stream_rides_current"](spark, sf_dir)
+    n, at_once = seen[0]
+    assert n == bindings.log_tasks(spark, sf_dir) > queries.STREAM_BATCHES
+    assert -(-n // at_once) == queries.STREAM_BATCHES
+    assert got.count() == QUERIES["rides_current"](spark, sf_dir).count()
