@@ -234,3 +234,17 @@ def test_stream_files_follow_the_data_and_batches_do_not(spark, sf_dir, monkeypa
     assert n == bindings.log_tasks(spark, sf_dir) > queries.STREAM_BATCHES
     assert -(-n // at_once) == queries.STREAM_BATCHES
     assert got.count() == QUERIES["rides_current"](spark, sf_dir).count()
+
+
+@pytest.mark.parametrize("name", ["load_stamps", "layer_rebuild", "build_rejects"])
+def test_layers_are_built_from_a_log_that_is_stored_once(spark, sf_dir, monkeypatch, name):
+    """A build reads its log for rejects and for silver; the joins that make the log run once."""
+    logs, build = [], medallion.build
+
+    def watched(spark, log, *rest, **options):
+        logs.append(plan(log))
+        return build(spark, log, *rest, **options)
+
+    monkeypatch.setattr(queries.medallion, "build", watched)
+    QUERIES[name](spark, sf_dir)
+    assert logs and not any("Join" in text for text in logs)
