@@ -248,3 +248,16 @@ def test_layers_are_built_from_a_log_that_is_stored_once(spark, sf_dir, monkeypa
     monkeypatch.setattr(queries.medallion, "build", watched)
     QUERIES[name](spark, sf_dir)
     assert logs and not any("Join" in text for text in logs)
+
+
+@pytest.mark.parametrize("name", ["file_lineage", "ndjson_roundtrip"])
+def test_json_lines_are_written_compressed(spark, sf_dir, monkeypatch, name):
+    found, read = [], queries.files.read_ndjson
+
+    def watched(spark, path):
+        found.extend(read(spark, path).inputFiles())
+        return read(spark, path)
+
+    monkeypatch.setattr(queries.files, "read_ndjson", watched)
+    QUERIES[name](spark, sf_dir)
+    assert found and all(f.endswith(".json.gz") for f in found)
