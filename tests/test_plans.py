@@ -9,7 +9,7 @@ from tripmill.operators import gold, ingest, lifecycle, silver, state
 from tripmill.plans import bindings, medallion, queries
 from tripmill.plans.oracles import ORACLES
 from tripmill.plans.queries import QUERIES
-from tripmill.session import work_dir
+from tripmill.session import kept, work_dir
 
 
 def plan(df):
@@ -261,3 +261,7 @@ def test_json_lines_are_written_compressed(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(queries.files, "read_ndjson", watched)
     QUERIES[name](spark, sf_dir)
     assert found and all(f.endswith(".json.gz") for f in found)
+
+
+def test_kept_tables_are_written_with_entropy_coding(spark):
+    assert all(f.endswith(".zstd.parquet") for f in kept(spark.range(10), "numbers").inputFiles())
