@@ -160,3 +160,21 @@ def test_each_payload_is_parsed_once(spark):
     messages = frame.select(F.lit("e").alias("event_id"), F.lit("r").alias("ride_id"), "event_type", F.lit("t").alias("timestamp"), "data")
     flat = ingest.flatten(messages)._jdf.queryExecution().optimizedPlan().toString()
     assert flat.count("from_json") == 1 and "json_object_keys" not in flat
+
+
+def test_a_part_of_a_stored_table_is_not_written_again(spark, rows, tmp_path, monkeypatch):
+    """Its days are rewritten in place: no copy of the increment or of the days is kept."""
+    data = [
+        (f"e{i}", f"r{i % 30}", COMPLETED if i % 3 else REQUESTED, dt.datetime(2024, 1, 1 + i % 4, i % 24), f"p{i % 7}", f"d{i % 5}", i, float(i))
+        for i in range(120)
+    ]
+    parts = [data[:50], data[30:90], data[70:]]
+    copied = increments.DailyGold(spark, str(tmp_path / "copied")).create()
+    for part in parts:
+        copied.apply(spark.createDataFrame(part, TYPED))
+    monkeypatch.setattr(increments, "kept", lambda *_: pytest.fail("a copy was written"))
+    plain = increments.DailyGold(spark, str(tmp_path / "plain")).create()
+    for part in parts:
+        plain.apply(spark.createDataFrame(part, TYPED), stored=True)
+    assert rows(plain.report("day").orderBy("period")) == rows(copied.report("day").orderBy("period"))
+    assert plain._read("events", increments.EVENTS).count() == len({(r[1], r[2], r[3]) for r in data})

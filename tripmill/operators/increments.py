@@ -78,21 +78,23 @@ class DailyGold:
         numbered = new.select("kind", "id", (F.monotonically_increasing_id() + F.lit(first)).alias("number"))
         numbered.write.mode("append").parquet(f"{self.path}/numbers")
 
-    def apply(self, events: DataFrame) -> list[str]:
+    def apply(self, events: DataFrame, *, stored: bool = False) -> list[str]:
         """Add typed events (as `silver.type_events` gives them) and recompute their days; returns the days.
 
         Events without a time belong to no day and are left out. The same increment again changes nothing.
+        The increment is read twice: it is written down first, unless it is a part of a `stored` table.
         """
         names = [c for c in (f.split()[0] for f in EVENTS.split(", ")) if c != DAY]
         dated = events.select(*names, F.to_date(F.date_trunc(self.part, "event_timestamp")).alias(DAY)).filter(F.col(DAY).isNotNull())
-        added = kept(dated, "increment")
+        added = dated if stored else kept(dated, "increment")
         # One date per touched day comes to the driver.
         days = sorted(r[0] for r in added.select(DAY).distinct().collect())
         if not days:
             return []
-        stored = self._read("events", EVENTS).filter(F.col(DAY).isin(days))
-        rows = kept(first_occurrence(stored.unionByName(added), RIDE_EVENT_TIME_KEY, ["event_id"]), "days")
-        write_partitioned(rows, f"{self.path}/events", DAY)
+        # The days are replaced once the job has read all of them.
+        before = self._read("events", EVENTS).filter(F.col(DAY).isin(days))
+        write_partitioned(first_occurrence(before.unionByName(added), RIDE_EVENT_TIME_KEY, ["event_id"]), f"{self.path}/events", DAY)
+        rows = self._read("events", EVENTS).filter(F.col(DAY).isin(days))
         done = rows.filter(F.col("event_type") == COMPLETED)
         self._number_new(done)
         # Each touched day gets a row, also one without a completed ride.

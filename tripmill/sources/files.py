@@ -101,6 +101,7 @@ def write_partitioned(df: DataFrame, path: str, date: str, sort_by: tuple[str, .
     (
         rebalanced(df, date, sort_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(date)
         .parquet(path)
     )
