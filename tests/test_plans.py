@@ -9,7 +9,7 @@ from tripmill.operators import gold, ingest, lifecycle, silver, state
 from tripmill.plans import bindings, medallion, queries
 from tripmill.plans.oracles import ORACLES
 from tripmill.plans.queries import QUERIES
-from tripmill.session import kept, work_dir
+from tripmill.session import kept, settings, work_dir
 
 
 def plan(df):
@@ -236,6 +236,32 @@ def test_stream_files_follow_the_data_and_batches_do_not(spark, sf_dir, monkeypa
     assert got.count() == QUERIES["rides_current"](spark, sf_dir).count()
 
 
+def test_the_shuffle_of_silver_deals_the_files_of_the_stream(spark, sf_dir, monkeypatch):
+    found, read = [], queries.files.stream_files
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def watched(spark, path, schema, **options):
+        found.append(spark.read.schema(schema).parquet(path))
+        assert {key: spark.conf.get(key) for key in before} == before
+        return read(spark, path, schema, **options)
+
+    monkeypatch.setattr(queries.files, "stream_files", watched)
+    QUERIES["stream_rides_current"](spark, sf_dir)
+    n = max(queries.STREAM_BATCHES, bindings.log_tasks(spark, sf_dir))
+    dealt = found[0].select(F.input_file_name().alias("file"), F.expr(f"pmod(hash(ride_id, event_type), {n})").alias("task"))
+    by_file = dealt.groupBy("file").agg(F.countDistinct("task").alias("tasks"))
+    assert by_file.count() == n and by_file.filter("tasks > 1").count() == 0
+
+
+def test_settings_hold_within_and_are_back_afterwards(spark):
+    known, unknown = "spark.sql.shuffle.partitions", "spark.sql.tripmill.none"
+    before = spark.conf.get(known)
+    with pytest.raises(ZeroDivisionError), settings(spark, {known: "7", unknown: "x"}):
+        assert (spark.conf.get(known), spark.conf.get(unknown)) == ("7", "x")
+        raise ZeroDivisionError
+    assert spark.conf.get(known) == before and spark.conf.get(unknown, None) is None
+
+
 @pytest.mark.parametrize("name", ["load_stamps", "layer_rebuild", "build_rejects"])
 def test_layers_are_built_from_a_log_that_is_stored_once(spark, sf_dir, monkeypatch, name):
     """A build reads its log for rejects and for silver; the joins that make the log run once."""

@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+import zipfile
 
 import pytest
 from helpers import events as make_events
 from pyspark.sql import functions as F
 
+from tripmill.functions.events import order_key, ordered_time
 from tripmill.operators import lifecycle
 from tripmill.plans import bindings
 from tripmill.schemas import ACCEPTED, BRONZE, COMPLETED, GPS, REQUESTED, STARTED
@@ -177,6 +179,41 @@ def test_streaming_state_goes_on_after_a_restart(spark, tmp_path):
     assert len(folders) <= 5  # compaction removed old batches
 
 
+def test_a_batch_holds_the_rides_that_changed_without_event_ids(spark, tmp_path):
+    source, offsets, out = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "rides")
+    parts, want, schema = ride_batches(spark)
+    for number, part in enumerate((parts[2], parts[4], parts[1])):
+        write(part, source)
+        se.run_available(sl.write_rides(files.stream_files(spark, source, schema), out, offsets))
+        got = spark.read.parquet(f"{out}/batch={number}")
+        assert set(got.columns) == set(want.columns)
+        assert all(f.endswith(".zstd.parquet") for f in got.inputFiles())
+        changed = {r.ride_id for r in part.select("ride_id").collect()}
+        now = lifecycle.replayed(spark.read.schema(schema).parquet(source).distinct()).select(*got.columns).collect()
+        assert sorted(map(str, got.collect())) == sorted(str(r) for r in now if r.ride_id in changed)
+
+
+def test_state_is_kept_with_entropy_coding_and_without_space_set_aside(spark, tmp_path):
+    source, offsets, out = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "rides")
+    parts, _, schema = ride_batches(spark)
+    write(parts[1], source)
+    se.run_available(sl.write_rides(files.stream_files(spark, source, schema), out, offsets))
+    options = "".join(
+        z.read(n).decode()
+        for p in tmp_path.glob("cp/state/0/*/*.zip") for z in [zipfile.ZipFile(p)] for n in z.namelist() if "OPTIONS" in n
+    )
+    assert "compression=kZSTD" in options and "block_size=32768" in options
+    assert "allow_fallocate=false" in options and "allow_fallocate=true" not in options
+
+
+def test_the_time_of_an_event_can_be_read_from_its_order(spark):
+    kinds = [*lifecycle.STEPS, REQUESTED, GPS, "other", None]
+    times = [dt.datetime(1931, 5, 4, 3, 2, 1, 999_999), dt.datetime(1970, 1, 1), dt.datetime(2024, 2, 29, 1, 2, 3, 1), None]
+    df = spark.createDataFrame([(k, t) for k in kinds for t in times], "event_type string, event_timestamp timestamp")
+    order = order_key(F.col("event_timestamp"), F.col("event_type"))
+    assert df.filter(~ordered_time(order).eqNullSafe(F.col("event_timestamp"))).count() == 0
+
+
 def test_windows_of_a_repeated_batch_stay(spark, metric_rows, tmp_path):
     rows, path = sm.window_metrics(metric_rows), str(tmp_path / "w")
     rows.withColumn("rides_completed_count", F.lit(0).cast("bigint")).write.parquet(f"{path}/batch=0")
