@@ -253,6 +253,19 @@ def test_the_shuffle_of_silver_deals_the_files_of_the_stream(spark, sf_dir, monk
     assert by_file.count() == n and by_file.filter("tasks > 1").count() == 0
 
 
+def test_files_of_the_restarted_stream_are_written_with_entropy_coding(spark, sf_dir, monkeypatch):
+    found, read = [], queries.files.stream_files
+
+    def watched(spark, path, schema, **options):
+        found.append(spark.read.schema(schema).parquet(path))
+        return read(spark, path, schema, **options)
+
+    monkeypatch.setattr(queries.files, "stream_files", watched)
+    QUERIES["stream_restart"](spark, sf_dir)
+    assert len(found) == 3 and all(f.endswith(".zstd.parquet") for df in found for f in df.inputFiles())
+    assert found[2].count() == bindings.silver(spark, sf_dir).count()
+
+
 def test_settings_hold_within_and_are_back_afterwards(spark):
     known, unknown = "spark.sql.shuffle.partitions", "spark.sql.tripmill.none"
     before = spark.conf.get(known)
