@@ -304,3 +304,28 @@ def test_json_lines_are_written_compressed(spark, sf_dir, monkeypatch, name):
 
 def test_kept_tables_are_written_with_entropy_coding(spark):
     assert all(f.endswith(".zstd.parquet") for f in kept(spark.range(10), "numbers").inputFiles())
+
+
+def test_gold_models_share_one_read_of_silver(spark, sf_dir, tmp_path, monkeypatch):
+    """Each model reads the completed rides, and gives what it gives on all of silver; odd rows too."""
+    log = bindings.bronze(spark, sf_dir)
+    odd = log.filter("CAST(ride_id AS BIGINT) % 7 = 0").withColumns(
+        {c: F.when(F.col("ride_id").endswith(d), F.lit(None)).otherwise(F.col(c)).cast(log.schema[c].dataType)
+         for c, d in (("rider_id", "1"), ("driver_id", "2"), ("fare_cents", "3"), ("distance_meters", "4"), ("event_type", "5"))}
+    ).withColumn("ride_id", F.concat(F.lit("odd"), "ride_id"))
+    log = kept(log.unionByName(odd).unionByName(odd), "bronze")
+    read = []
+
+    def watched(model):
+        return lambda rides: read.append(rides) or model(rides)
+
+    models = dict(medallion.GOLD_MODELS)
+    for name, model in models.items():
+        monkeypatch.setitem(medallion.GOLD_MODELS, name, watched(model))
+    built = medallion.build(spark, log, str(tmp_path), "month")
+    rides = built["stg_rides"].filter("event_type = 'ride_completed'").count()
+    assert len(read) == len(models) and all(df.count() == rides for df in read)
+    assert not any("stg_rides" in f for df in read for f in df.inputFiles())
+    for name, model in models.items():
+        mine, whole = built[name].drop("_loaded_at"), model(built["stg_rides"])
+        assert mine.exceptAll(whole).count() == whole.exceptAll(mine).count() == 0, name
