@@ -329,3 +329,18 @@ def test_gold_models_share_one_read_of_silver(spark, sf_dir, tmp_path, monkeypat
     for name, model in models.items():
         mine, whole = built[name].drop("_loaded_at"), model(built["stg_rides"])
         assert mine.exceptAll(whole).count() == whole.exceptAll(mine).count() == 0, name
+
+
+def test_the_log_is_read_for_rejects_only_where_silver_left_rows_out(spark, sf_dir, tmp_path, monkeypatch):
+    log = kept(bindings.bronze(spark, sf_dir), "bronze")
+    marked = log.withColumn("event_id", F.when(F.col("ride_id") != "7", F.col("event_id")))
+    stamped, stamp, built = [], medallion.stamp_loaded, {}
+    monkeypatch.setattr(medallion, "stamp_loaded", lambda df: stamped.append(df) or stamp(df))
+    for name, df in (("clean", log), ("marked", marked)):
+        stamped.clear()
+        built[name] = medallion.build(spark, df, f"{tmp_path}/{name}", "month")["rejects"]
+        (rejects,) = [plan(x) for x in stamped if "_error" in x.columns]
+        assert ("Scan parquet" in rejects[rejects.index("== Physical Plan =="):]) == (name == "marked")
+    assert built["clean"].schema == built["marked"].schema and built["clean"].count() == 0
+    assert built["marked"].count() == log.filter("ride_id = '7'").count() > 0
+    assert [r[0] for r in built["marked"].select("_error").distinct().collect()] == ["missing_event_id"]
