@@ -1,4 +1,6 @@
+import itertools
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -120,3 +122,17 @@ def test_history_is_in_time_order_whatever_the_arrival(spark, rows):
 def test_messages_are_keyed_by_ride(spark, rows):
     (row,) = rows(ingest.keyed_messages(spark.createDataFrame([("e", "r")], "event_id string, ride_id string")))
     assert row == {"key": "r", "value": '{"event_id":"e","ride_id":"r"}'}
+
+
+def test_reasons_are_put_together_only_for_rows_that_fail_a_check(spark):
+    values = itertools.product((None, "", " ", "e"), (None, "r"), (None, "ride_completed", "flown"), (None, "soon", "2024-01-01T00:00:00"))
+    df = spark.createDataFrame([*values], "event_id string, ride_id string, event_type string, timestamp string")
+    checked = ingest.check_event(ingest.check_payload(df))
+    # Spark has no generated code for the filter of a list, so it may not run for every row.
+    text = checked._jdf.queryExecution().optimizedPlan().toString()
+    lists = text.count("filter(array(")
+    assert lists and len(re.findall(r"THEN (?:knownnotcontainsnull\()?filter\(array\(", text)) == lists and "ELSE [] END" in text
+    for row in checked.collect():
+        missing = [f"missing_{c}" for c in df.columns if row[c] is None] + ["unknown_event_type"] * (row.event_type == "flown")
+        late = ["blank_event_id"] * (not (row.event_id or "").strip()) + ["bad_timestamp"] * (row.timestamp == "soon")
+        assert row.reasons == (missing or late), row
